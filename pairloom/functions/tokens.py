@@ -9,6 +9,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
 from pairloom.functions.template import CHATML, ChatTemplate
 
@@ -48,30 +49,34 @@ def python_tokenizer(load: Callable[[], Any]) -> Tokenizer:
     in Arrow batches.
     """
 
-    @F.pandas_udf("bigint")
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def count_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer = load()
         for texts in batches:
             ids = tokenizer(texts.tolist(), truncation=False)["input_ids"]
             yield pd.Series([len(x) for x in ids], dtype="int64")
 
-    def render(messages: Column, add_generation_prompt: bool = False) -> Column:
-        @F.pandas_udf("string")
-        def rendered(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            tokenizer = load()
-            for conversations in batches:
-                yield pd.Series(
-                    [
-                        tokenizer.apply_chat_template(
-                            [{"role": m["role"], "content": m["content"]} for m in conversation],
-                            tokenize=False,
-                            add_generation_prompt=add_generation_prompt,
-                        )
-                        for conversation in conversations
-                    ],
-                    dtype="object",
+    def render_batches(
+        batches: Iterator[pd.Series], generation: bool
+    ) -> Iterator[pd.Series]:
+        tokenizer = load()
+        for conversations in batches:
+            texts = [
+                tokenizer.apply_chat_template(
+                    [{"role": m["role"], "content": m["content"]} for m in conversation],
+                    tokenize=False,
+                    add_generation_prompt=generation,
                 )
+                for conversation in conversations
+            ]
+            yield pd.Series(texts, dtype="object")
+
+    def count(text: Column) -> Column:
+        return F.pandas_udf(count_batches, LongType())(text)
+
+    def render(messages: Column, add_generation_prompt: bool = False) -> Column:
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            return render_batches(batches, add_generation_prompt)
 
-        return rendered(messages)
+        return F.pandas_udf(run, StringType())(messages)
 
     return Tokenizer(count, render)
