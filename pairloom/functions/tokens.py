@@ -19,10 +19,15 @@ TOKEN = "[^ \t\n\r\f\v]++"
 
 @dataclass(frozen=True)
 class Tokenizer:
-    """`count(text)` gives a bigint column, `render(messages, generation)` a string one."""
+    """`count(text)` gives a bigint column, `render(messages, generation)` a string one.
+
+    `most(text)`, if known, is a cheap column that no count can exceed. Texts
+    that fit by it are not counted at all. `count` must return NULL for NULL.
+    """
 
     count: Callable[[Column], Column]
     render: Callable[[Column, bool], Column]
+    most: Callable[[Column], Column] | None = None
 
 
 def native_tokenizer(template: ChatTemplate = CHATML, special_per_call: int = 0) -> Tokenizer:
@@ -35,10 +40,16 @@ def native_tokenizer(template: ChatTemplate = CHATML, special_per_call: int = 0)
     def count(text: Column) -> Column:
         return (F.regexp_count(text, F.lit(TOKEN)) + special_per_call).cast("bigint")
 
-    return Tokenizer(count, template.render)
+    def most(text: Column) -> Column:
+        # n tokens take n characters and n - 1 blanks between them, at least.
+        return F.floor((F.length(text) + 1) / 2) + special_per_call
 
+    return Tokenizer(count, template.render, most)
 
-def python_tokenizer(load: Callable[[], Any]) -> Tokenizer:
+
+def python_tokenizer(
+    load: Callable[[], Any], most: Callable[[Column], Column] | None = None
+) -> Tokenizer:
     """Wrap a Python tokenizer object.
 
     `load` runs inside the task and returns an object with the usual interface:
@@ -47,13 +58,21 @@ def python_tokenizer(load: Callable[[], Any]) -> Tokenizer:
     Make `load` an importable function under `functools.cache` to load the
     tokenizer once per Python worker, not once per task. Texts cross to Python
     in Arrow batches.
+
+    `most` is the caller's promise about the tokenizer; with it, the length
+    filters leave short texts in the JVM. A byte-level vocabulary that adds two
+    marker tokens, for example, allows `lambda text: F.octet_length(text) + 2`.
     """
 
     def count_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer = load()
         for texts in batches:
-            ids = tokenizer(texts.tolist(), truncation=False)["input_ids"]
-            yield pd.Series([len(x) for x in ids], dtype="int64")
+            known = texts.dropna()
+            counts = pd.Series(None, index=texts.index, dtype="Int64")
+            if len(known):
+                ids = tokenizer(known.tolist(), truncation=False)["input_ids"]
+                counts[known.index] = [len(x) for x in ids]
+            yield counts
 
     def render_batches(
         batches: Iterator[pd.Series], generation: bool
@@ -79,4 +98,4 @@ def python_tokenizer(load: Callable[[], Any]) -> Tokenizer:
 
         return F.pandas_udf(run, StringType())(messages)
 
-    return Tokenizer(count, render)
+    return Tokenizer(count, render, most)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pairloom.functions import text as T
 from pairloom.functions.binding import bind_columns, let
 from pairloom.functions.tokens import Tokenizer
+from pairloom.operators.lengths import within_limits
 
 REPLY_LABEL = "\n\nAssistant: "
 
@@ -74,9 +75,10 @@ def prepare_for_sft(
 
         row = let(T.parse_conversation(chosen), both)
         prepared = bind_columns(pairs, keys, row=row).select(*keys, "row.text", "row.messages")
-    if tokenizer is not None and max_length is not None:
-        prepared = prepared.where(tokenizer.count(F.col("text")) <= max_length)
-    return prepared.select(*keys, "text", "messages")
+    prepared = prepared.select(*keys, "text", "messages")
+    if tokenizer is None or max_length is None:
+        return prepared
+    return within_limits(prepared, tokenizer, [(["text"], max_length)])
 
 
 def prepare_for_dpo(
@@ -105,20 +107,10 @@ def prepare_for_dpo(
     )
     if tokenizer is None or max_length is None:
         return prepared
-    columns = [*keys, "prompt", "chosen", "rejected"]
-    counted = bind_columns(
-        prepared,
-        columns,
-        prompt_tokens=tokenizer.count(F.col("prompt")),
-        chosen_tokens=tokenizer.count(F.col("chosen")),
-        rejected_tokens=tokenizer.count(F.col("rejected")),
-    )
-    fits = (F.col("prompt_tokens") + F.col("chosen_tokens") <= max_length) & (
-        F.col("prompt_tokens") + F.col("rejected_tokens") <= max_length
-    )
+    limits = [(["prompt", "chosen"], max_length), (["prompt", "rejected"], max_length)]
     if max_prompt_length is not None:
-        fits &= F.col("prompt_tokens") <= max_prompt_length
-    return counted.where(fits).select(*columns)
+        limits.append((["prompt"], max_prompt_length))
+    return within_limits(prepared, tokenizer, limits)
 
 
 def sft_text_from_pairs(prepared: DataFrame, *, keep: Sequence[str] | None = None) -> DataFrame:

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.preview import excerpt, shorten
 from pairloom.functions.tokens import Tokenizer
-from pairloom.operators.limits import first_rows
 from pairloom.operators.prepare import prepare_for_dpo, prepare_for_sft
 from pairloom.operators.statistics import as_report, observe_statistics
 from pairloom.sources.pairs import SPLITS, load_pairs
@@ -38,7 +37,7 @@ _PREVIEW_START = 1_000
 @dataclass(frozen=True)
 class PrepareConfig:
     input: str
-    split: str | None = "train"
+    split: str = "train"
     subset: str | None = None
     max_samples: int | None = None
     format: str = "both"
@@ -75,7 +74,11 @@ def sampled(prepared: DataFrame) -> DataFrame:
 
 
 def examples(
-    pairs: DataFrame, prepare: Callable[[DataFrame], DataFrame], kind: str, n: int
+    load: Callable[[int], DataFrame],
+    prepare: Callable[[DataFrame], DataFrame],
+    kind: str,
+    n: int,
+    max_samples: int | None = None,
 ) -> list[Row]:
     """The first n prepared rows, looking at ever longer starts of the table.
 
@@ -84,9 +87,11 @@ def examples(
     """
     size = max(n, _PREVIEW_START)
     while n > 0:
-        start = first_rows(pairs, size)
+        if max_samples is not None:
+            size = min(size, max_samples)
+        start = load(size)
         rows = shown(prepare(start), kind).orderBy("row_id").limit(n).collect()
-        if len(rows) == n or start.count() < size:
+        if len(rows) == n or size == max_samples or start.count() < size:
             return rows
         size *= 1_000
     return []
@@ -96,16 +101,21 @@ def run_prepare(spark: SparkSession, config: PrepareConfig) -> PrepareReport:
     if config.format not in (*PREPARE, "both"):
         raise ValueError(f"format must be sft, dpo or both, not {config.format!r}")
     report = PrepareReport()
-    pairs = load_pairs(
-        spark,
-        config.input,
-        config.split,
-        config.subset,
-        config.max_samples,
-        file_format=config.file_format,
-    ).drop("subset")
-    raw = first_rows(pairs, 1).select(excerpt(F.col("chosen"), RAW_SIZE)).first()
-    report.raw_sample = raw[0] if raw else None
+
+    def load(max_samples: int | None) -> DataFrame:
+        return load_pairs(
+            spark,
+            config.input,
+            config.split,
+            config.subset,
+            max_samples,
+            file_format=config.file_format,
+        ).drop("subset", "split")
+
+    pairs = load(config.max_samples)
+    if config.max_samples != 0:
+        raw = load(1).select(excerpt(F.col("chosen"), RAW_SIZE)).first()
+        report.raw_sample = raw[0] if raw else None
     paths = save_paths(config.save_path, config.format) if config.save_path else {}
     for kind in config.outputs:
         columns = ["chosen"] if kind == "sft" else ["chosen", "rejected"]
@@ -124,7 +134,9 @@ def run_prepare(spark: SparkSession, config: PrepareConfig) -> PrepareReport:
             prepared.write.format("noop").mode("overwrite").save()
         report.loaded = read.get["rows"]
         report.statistics[kind] = as_report(prepared, statistics.get)
-        report.examples[kind] = examples(pairs, prepare, kind, config.show_examples)
+        report.examples[kind] = examples(
+            load, prepare, kind, config.show_examples, config.max_samples
+        )
     return report
 
 

@@ -6,7 +6,9 @@ Layout: `<root>/<subset>/<split>*`, where the last part is a JSON-lines file
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +46,25 @@ def _spread(df: DataFrame, files: Sequence[str]) -> DataFrame:
     return df.repartition(cores) if packed and len(files) < cores else df
 
 
+def _as_path(name: str) -> str:
+    """A listed file name as a path to load: not URL-encoded, no wildcards."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(name))
+
+
+def _first_files(
+    load: Callable[[Sequence[str]], DataFrame], files: Sequence[str], rows: int
+) -> list[str]:
+    """A start of `files` that holds `rows` rows, if all of them do."""
+    size = 1
+    while size < len(files):
+        # A filter that reads a column, so that only true rows are counted.
+        read = load(files[:size]).where("chosen IS NULL OR length(chosen) >= 0")
+        if read.count() >= rows:
+            break
+        size *= 4
+    return list(files[:size])
+
+
 def load_pairs(
     spark: SparkSession,
     root: str,
@@ -56,12 +77,29 @@ def load_pairs(
     """`row_id, chosen, rejected, subset, split` of the chosen files.
 
     None stands for all subsets and for all splits. `max_samples` keeps the
-    first rows of the table, or of each split when all splits are loaded.
+    first rows of the table, or of each split when all splits are loaded; files
+    beyond those rows are not read.
     """
-    reader = spark.read.schema(PAIR_SCHEMA)
-    df = reader.format(file_format).load(_pattern(root, subset, split))
-    pairs = with_row_id(df, "chosen", "rejected", *_place(), columnar=file_format == "parquet")
-    pairs = _spread(pairs, df.inputFiles())
+
+    def load(paths: Sequence[str]) -> DataFrame:
+        reader = spark.read.schema(PAIR_SCHEMA).format(file_format)
+        return reader.load([_as_path(p) for p in paths])
+
+    found = spark.read.schema(PAIR_SCHEMA).format(file_format).load(_pattern(root, subset, split))
+    files = sorted(found.inputFiles())
+    if not files:
+        return found.select(F.lit(0).cast("bigint").alias("row_id"), "chosen", "rejected", *_place())
+    wanted = files
+    if max_samples is not None:
+        wanted = []
+        for name in SPLITS if split is None else (split,):
+            of_split = [f for f in files if re.search(_PLACE, f)[2] == name]
+            wanted += _first_files(load, of_split, max_samples)
+    df = found if wanted == files else load(wanted)
+    pairs = with_row_id(
+        df, "chosen", "rejected", *_place(), files=files, columnar=file_format == "parquet"
+    )
+    pairs = _spread(pairs, wanted)
     if max_samples is None:
         return pairs
     return first_rows(pairs, max_samples, splits=SPLITS if split is None else None)

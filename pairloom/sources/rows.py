@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,13 +29,19 @@ def _position(columnar: bool) -> Column:
     return F.col("_metadata.file_block_start") + in_task
 
 
-def with_row_id(df: DataFrame, *columns: str | Column, columnar: bool = False) -> DataFrame:
+def with_row_id(
+    df: DataFrame,
+    *columns: str | Column,
+    files: Sequence[str] | None = None,
+    columnar: bool = False,
+) -> DataFrame:
     """Put a unique `row_id`, ascending in (file name, position), before `columns`.
 
-    `df` must be a plain file scan. Ids of text files depend on how the scan is
-    cut into tasks; write the ingested table once and read that.
+    `df` must be a plain file scan, of `files` or of some of them. Ids of text
+    files depend on how the scan is cut into tasks; write the ingested table
+    once and read that.
     """
-    files = sorted(df.inputFiles())
+    files = sorted(df.inputFiles() if files is None else files)
     if len(files) > MAX_FILES:
         raise ValueError(f"{len(files)} files; compact them to {MAX_FILES} at most")
     wanted = columns or tuple(df.columns)

@@ -325,3 +325,35 @@ def test_sft_scan_skips_rejected(pairs):
 def test_row_filters_reach_the_scan(pairs):
     plan = plan_of(P.first_rows(P.prepare_for_dpo(pairs), 5))
     assert "LessThanOrEqual(row_id," in plan and "Exchange" not in plan
+
+
+def test_bound_spares_the_counter(edges):
+    native = P.native_tokenizer()
+    everything = P.Tokenizer(native.count, native.render)
+    for limits in ((300, 100), (2048, 1024), (900, None)):
+        bounded, full = (P.prepare_for_dpo(edges, t, *limits) for t in (native, everything))
+        assert keyed(bounded) == keyed(full)
+        assert keyed(P.prepare_for_sft(edges, native, limits[0])) == (
+            keyed(P.prepare_for_sft(edges, everything, limits[0]))
+        )
+
+    def load():
+        def check(texts, truncation):
+            assert all(len(t) > 20 for t in texts)
+            return {"input_ids": [t.split() for t in texts]}
+
+        return check
+
+    hook = P.python_tokenizer(load, lambda text: F.length(text))
+    df = edges.select("row_id", F.expr("concat('Human: a\n\nAssistant: ', repeat('b ', row_id))").alias("chosen"))
+    kept = P.prepare_for_sft(df, hook, 21, use_chat_template=False)
+    # "Human: a / Assistant: " and row_id times "b".
+    assert sorted(keyed(kept)) == list(range(0, 19))
+
+
+def test_native_bound_holds(spark):
+    df = spark.createDataFrame([(t,) for t in ("", " ", "a", "a b", " a b ", "a b c", "ab c")], "t string")
+    tok = P.native_tokenizer(special_per_call=2)
+    rows = df.select(tok.count(F.col("t")).alias("n"), tok.most(F.col("t")).alias("most")).collect()
+    assert [r.n for r in rows] == [2, 2, 3, 4, 4, 5, 4]
+    assert all(r.n <= r.most for r in rows)
