@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from pairloom.functions.template import CHATML, ChatTemplate
 
@@ -19,16 +19,21 @@ TOKEN = "[^ \t\n\r\f\v]++"
 
 @dataclass(frozen=True)
 class Tokenizer:
-    """`count(text)` gives a bigint column, `render(messages, generation)` a string one.
+    """How texts are counted and conversations rendered.
 
-    `most(text)`, if known, is a cheap column that no count can exceed. Texts
-    that fit by it are not counted at all. `count` must return NULL for NULL.
+    `count_all` turns named texts into a struct of bigint counts by the same
+    names, NULL for NULL. `render(messages, generation)` gives a string column.
+    `most(text)`, if known, is a cheap column that no count can exceed; texts
+    that fit a limit by it are not counted at all.
     """
 
-    count: Callable[[Column], Column]
+    count_all: Callable[[Mapping[str, Column]], Column]
     render: Callable[[Column, bool], Column]
     most: Callable[[Column], Column] | None = None
 
+    def count(self, text: Column) -> Column:
+        return self.count_all({"tokens": text})["tokens"]
+
 
 def native_tokenizer(template: ChatTemplate = CHATML, special_per_call: int = 0) -> Tokenizer:
     """Blank-separated tokens and a declarative template; stays in the JVM.
@@ -40,11 +45,14 @@ def native_tokenizer(template: ChatTemplate = CHATML, special_per_call: int = 0)
     def count(text: Column) -> Column:
         return (F.regexp_count(text, F.lit(TOKEN)) + special_per_call).cast("bigint")
 
+    def count_all(texts: Mapping[str, Column]) -> Column:
+        return F.struct(*[count(text).alias(name) for name, text in texts.items()])
+
     def most(text: Column) -> Column:
         # n tokens take n characters and n - 1 blanks between them, at least.
         return F.floor((F.length(text) + 1) / 2) + special_per_call
 
-    return Tokenizer(count, template.render, most)
+    return Tokenizer(count_all, template.render, most)
 
 
 def python_tokenizer(
@@ -57,45 +65,50 @@ def python_tokenizer(
     `tok.apply_chat_template(messages, tokenize=False, add_generation_prompt=...)`.
     Make `load` an importable function under `functools.cache` to load the
     tokenizer once per Python worker, not once per task. Texts cross to Python
-    in Arrow batches.
+    in Arrow batches, all the columns to count in one pass.
 
     `most` is the caller's promise about the tokenizer; with it, the length
     filters leave short texts in the JVM. A byte-level vocabulary that adds two
     marker tokens, for example, allows `lambda text: F.octet_length(text) + 2`.
     """
 
-    def count_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokenizer = load()
-        for texts in batches:
-            known = texts.dropna()
-            counts = pd.Series(None, index=texts.index, dtype="Int64")
-            if len(known):
-                ids = tokenizer(known.tolist(), truncation=False)["input_ids"]
-                counts[known.index] = [len(x) for x in ids]
-            yield counts
-
-    def render_batches(
-        batches: Iterator[pd.Series], generation: bool
-    ) -> Iterator[pd.Series]:
-        tokenizer = load()
-        for conversations in batches:
-            texts = [
-                tokenizer.apply_chat_template(
-                    [{"role": m["role"], "content": m["content"]} for m in conversation],
-                    tokenize=False,
-                    add_generation_prompt=generation,
+    def counted(tokenizer: Any, texts: pd.Series) -> pd.Series:
+        known = texts.dropna()
+        counts = pd.Series(None, index=texts.index, dtype="Int64")
+        if len(known):
+            ids = tokenizer(known.tolist(), truncation=False)["input_ids"]
+            counts[known.index] = [len(x) for x in ids]
+        return counts
+
+    def count_all(texts: Mapping[str, Column]) -> Column:
+        names = list(texts)
+
+        def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+            tokenizer = load()
+            for columns in batches:
+                # A single column comes as it is, several come as a tuple.
+                columns = columns if isinstance(columns, tuple) else (columns,)
+                yield pd.DataFrame(
+                    {n: counted(tokenizer, c) for n, c in zip(names, columns, strict=True)}
                 )
-                for conversation in conversations
-            ]
-            yield pd.Series(texts, dtype="object")
 
-    def count(text: Column) -> Column:
-        return F.pandas_udf(count_batches, LongType())(text)
+        counts = StructType([StructField(name, LongType()) for name in names])
+        return F.pandas_udf(run, counts)(*texts.values())
 
     def render(messages: Column, add_generation_prompt: bool = False) -> Column:
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            return render_batches(batches, add_generation_prompt)
+            tokenizer = load()
+            for conversations in batches:
+                texts = [
+                    tokenizer.apply_chat_template(
+                        [{"role": m["role"], "content": m["content"]} for m in conversation],
+                        tokenize=False,
+                        add_generation_prompt=add_generation_prompt,
+                    )
+                    for conversation in conversations
+                ]
+                yield pd.Series(texts, dtype="object")
 
         return F.pandas_udf(run, StringType())(messages)
 
-    return Tokenizer(count, render, most)
+    return Tokenizer(count_all, render, most)

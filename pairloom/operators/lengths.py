@@ -26,15 +26,14 @@ def within_limits(
     only rows that the bound leaves open are counted: the others go to the
     counter as NULL and pass.
     """
+    columns = df.columns
     texts = {name: F.col(name) for group, _ in limits for name in group}
     if tokenizer.most is not None:
         most = {name: tokenizer.most(text) for name, text in texts.items()}
         open_row = reduce(or_, [_together(most, group) > limit for group, limit in limits])
-        texts = {name: F.when(open_row, text) for name, text in texts.items()}
-    counted = bind_columns(
-        df, df.columns, **{f"{name}_tokens": tokenizer.count(text) for name, text in texts.items()}
-    )
-    tokens = {name: F.col(f"{name}_tokens") for name in texts}
-    fits = [_together(tokens, group) <= limit for group, limit in limits]
-    kept = counted.where(reduce(and_, [F.coalesce(f, F.lit(True)) for f in fits]))
-    return kept.select(*df.columns)
+        df = df.withColumn("open_row", open_row)
+        texts = {name: F.when(F.col("open_row"), text) for name, text in texts.items()}
+    counted = bind_columns(df, columns, tokens=tokenizer.count_all(texts))
+    tokens = {name: F.col("tokens")[name] for name in texts}
+    fits = [F.coalesce(_together(tokens, group) <= limit, F.lit(True)) for group, limit in limits]
+    return counted.where(reduce(and_, fits)).select(*columns)

@@ -314,6 +314,8 @@ def test_each_parse_runs_once(pairs):
     counted = plan_of(P.prepare_for_dpo(pairs, P.native_tokenizer()))
     assert counted.count("split(") == 1 and counted.count("regexp_extract_all(") == 3
     chat = plan_of(P.prepare_for_sft(pairs, P.native_tokenizer()))
+    hooked = plan_of(P.prepare_for_dpo(pairs, P.python_tokenizer(load_words)))
+    assert hooked.count("ArrowEvalPython") == 1
     assert chat.count("split(") == 1 and chat.count("im_end") == 1
 
 
@@ -329,7 +331,7 @@ def test_row_filters_reach_the_scan(pairs):
 
 def test_bound_spares_the_counter(edges):
     native = P.native_tokenizer()
-    everything = P.Tokenizer(native.count, native.render)
+    everything = P.Tokenizer(native.count_all, native.render)
     for limits in ((300, 100), (2048, 1024), (900, None)):
         bounded, full = (P.prepare_for_dpo(edges, t, *limits) for t in (native, everything))
         assert keyed(bounded) == keyed(full)
