@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,8 +45,18 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def _bytes(text: Column, start: int, size: Column | None = None) -> Column:
+    """Part of a text by bytes; cut only next to ASCII, so characters stay whole.
+
+    Positions in characters would make Spark walk the text from its start, which
+    costs more than the rest of the parse.
+    """
+    raw = text.cast("binary")
+    return F.substr(raw, F.lit(start), F.lit(_TO_THE_END) if size is None else size).cast("string")
+
+
 def _after(turn: Column, marker: str) -> Column:
-    return strip(F.substring(turn, len(marker) + 1, _TO_THE_END))
+    return strip(_bytes(turn, len(marker) + 1))
 
 
 def _marked_turns(text: Column) -> Column:
@@ -103,20 +115,25 @@ _REPLY = BLANK_LINE + ASSISTANT
 _QUESTION = BLANK_LINE + HUMAN
 
 
-def _opened(text: Column) -> Column:
-    return F.concat(F.lit(BLANK_LINE), F.ltrim(text, F.lit(WHITESPACE)))
+def _around_last_reply(text: Column, body: Callable[[Column, Column], Column]) -> Column:
+    """`body(opened, tail)`: text that opens with a break, and what follows its last reply mark."""
+    opened = F.concat(F.lit(BLANK_LINE), F.ltrim(text, F.lit(WHITESPACE)))
+    return let(opened, lambda o: let(F.substring_index(o, _REPLY, -1), lambda tail: body(o, tail)))
+
 
+def _has_reply(opened: Column, tail: Column) -> Column:
+    # Without a mark, the tail is the whole text.
+    return F.octet_length(tail) < F.octet_length(opened)
 
-def _reply_in(opened: Column) -> Column:
-    tail = F.substring_index(opened, _REPLY, -1)
+
+def _reply_in(opened: Column, tail: Column) -> Column:
     reply = strip(F.substring_index(tail, _QUESTION, 1))
-    return F.when(F.contains(opened, F.lit(_REPLY)), reply).when(opened.isNotNull(), F.lit(""))
+    return F.when(_has_reply(opened, tail), reply).when(opened.isNotNull(), F.lit(""))
 
 
-def _context_in(opened: Column) -> Column:
-    tail = F.substring_index(opened, _REPLY, -1)
-    size = F.length(opened) - F.length(tail) - len(_REPLY)
-    head = F.when(F.contains(opened, F.lit(_REPLY)), F.left(opened, size)).otherwise(opened)
+def _context_in(opened: Column, tail: Column) -> Column:
+    size = F.octet_length(opened) - F.octet_length(tail) - len(_REPLY)
+    head = F.when(_has_reply(opened, tail), _bytes(opened, 1, size)).otherwise(opened)
 
     def line(turn: Column) -> Column:
         return F.when(
@@ -128,15 +145,17 @@ def _context_in(opened: Column) -> Column:
 
 def last_response(text: Column) -> Column:
     """Content of the last assistant message, or the empty string."""
-    return let(_opened(text), _reply_in)
+    return _around_last_reply(text, _reply_in)
 
 
 def format_conversation(text: Column) -> Column:
     """Text to (prompt, response); turns after the last reply are dropped."""
-    return let(
-        _opened(text),
-        lambda t: F.struct(_context_in(t).alias("prompt"), _reply_in(t).alias("response")),
-    )
+
+    def both(opened: Column, tail: Column) -> Column:
+        prompt, response = _context_in(opened, tail), _reply_in(opened, tail)
+        return F.struct(prompt.alias("prompt"), response.alias("response"))
+
+    return _around_last_reply(text, both)
 
 
 def extract_prompt_and_responses(chosen: Column, rejected: Column) -> Column:

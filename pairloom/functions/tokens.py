@@ -49,8 +49,9 @@ def native_tokenizer(template: ChatTemplate = CHATML, special_per_call: int = 0)
         return F.struct(*[count(text).alias(name) for name, text in texts.items()])
 
     def most(text: Column) -> Column:
-        # n tokens take n characters and n - 1 blanks between them, at least.
-        return F.floor((F.length(text) + 1) / 2) + special_per_call
+        # n tokens take n bytes and n - 1 blanks between them, at least. The size
+        # in bytes is known; characters would have to be counted.
+        return F.floor((F.octet_length(text) + 1) / 2) + special_per_call
 
     return Tokenizer(count_all, template.render, most)
 

@@ -103,7 +103,7 @@ def prepare_for_dpo(
             pairs, keys, left=T.format_conversation(chosen), rejected=T.last_response(rejected)
         )
         .select(*keys, "left.prompt", F.col("left.response").alias("chosen"), "rejected")
-        .where((F.length("chosen") > 0) & (F.length("rejected") > 0))
+        .where((F.col("chosen") != "") & (F.col("rejected") != ""))
     )
     if tokenizer is None or max_length is None:
         return prepared
