@@ -1,6 +1,6 @@
 """The preparation job: load, prepare, report, show, save.
 
-    spark-submit --py-files pairloom.zip -m pairloom.plans.job \
+    spark-submit --py-files pairloom.zip pairloom/plans/job.py \\
         --input <root> --format both --save_path <folder>/train.json
 
 Each output is one narrow Spark job: its statistics are collected while it is

@@ -13,6 +13,8 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+TYPES = {"VARCHAR": "string", "BIGINT": "bigint", "DOUBLE": "double"}
+
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 
@@ -44,6 +46,7 @@ def test_query(spark, duck, name):
     result = duck.execute(SQL[name])
     want = canonical([c[0] for c in result.description], result.fetchall())
     assert got[0] == want[0]
+    assert dict(df.dtypes) == {c[0]: TYPES[str(c[1])] for c in result.description}
     assert len(want[1]) > 0
     assert got[1] == want[1]
 
