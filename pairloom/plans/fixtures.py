@@ -31,7 +31,8 @@ def conversations_from_turns(turns: DataFrame) -> DataFrame:
     combine on the map side.
     """
     label = F.when(F.col("role") == "user", F.lit(T.HUMAN)).otherwise(F.lit(T.ASSISTANT))
-    lines = turns.where(F.col("role").isin("user", "assistant")).select(
+    spoken = F.col("conv_id").isNotNull() & F.col("role").isin("user", "assistant")
+    lines = turns.where(spoken).select(
         "conv_id",
         F.floor(F.col("turn") / BLOCK_TURNS).alias("block"),
         "turn",
@@ -47,14 +48,15 @@ def conversations_from_turns(turns: DataFrame) -> DataFrame:
 
 def pairs_from_turns(turns: DataFrame) -> DataFrame:
     """`row_id, chosen, rejected`; the rejected reply is the next conversation's."""
+    whole = conversations_from_turns(turns)
     sides = bind_columns(
-        conversations_from_turns(turns),
-        ["conv_id", "chosen"],
-        parsed=T.format_conversation(F.col("chosen")),
-    )
-    other = sides.select(
-        (F.col("conv_id") - 1).alias("conv_id"), F.col("parsed.response").alias("other")
+        whole, ["conv_id", "chosen"], parsed=T.format_conversation(F.col("chosen"))
     )
+    # Both join sides share the shuffles that assemble the conversations. They
+    # do as long as their plans are alike: a key that may be null would bring
+    # its own null filter to this side.
+    before = F.coalesce("conv_id", F.lit(0)) - 1
+    other = whole.select(before.alias("conv_id"), T.last_response(F.col("chosen")).alias("other"))
     rejected = F.concat(
         F.lit(T.BLANK_LINE), "parsed.prompt", F.lit(T.BLANK_LINE + T.ASSISTANT + " "), "other"
     )

@@ -20,6 +20,9 @@ PAIR_SCHEMA = "chosen string, rejected string"
 # The split names of the pair files.
 SPLITS = ("train", "test")
 
+# The largest gzip file that one task may read and parse on its own.
+PACKED_BYTES = 128 * 1024 * 1024
+
 _PLACE = r"/([^/]+)/(train|test)[^/]*(?:/[^/]+)?$"
 
 
@@ -39,18 +42,30 @@ def _place() -> list[Column]:
     ]
 
 
-def _spread(df: DataFrame, files: Sequence[str]) -> DataFrame:
-    """A gzip file is read by one task; spread few large ones before the parse."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    packed = any(name.endswith(".gz") for name in files)
-    return df.repartition(cores) if packed and len(files) < cores else df
-
-
 def _as_path(name: str) -> str:
     """A listed file name as a path to load: not URL-encoded, no wildcards."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(name))
 
 
+def _spread(df: DataFrame, files: Sequence[str]) -> DataFrame:
+    """Even out rows that come from packed files, before they are parsed.
+
+    A gzip file is read by one task however large it is. Where one is larger
+    than a usual task, or there are fewer files than cores, the rows are
+    shuffled once into parts of even size; otherwise nothing is moved.
+    """
+    spark = df.sparkSession
+    packed = [_as_path(name) for name in files if name.endswith(".gz")]
+    if not packed:
+        return df
+    few = len(files) < spark.sparkContext.defaultParallelism
+    # Lists the files; their content is not read.
+    sizes = spark.read.format("binaryFile").load(packed).select("length")
+    if few or sizes.agg(F.max("length")).first()[0] > PACKED_BYTES:
+        return df.hint("rebalance")
+    return df
+
+
 def _first_files(
     load: Callable[[Sequence[str]], DataFrame], files: Sequence[str], rows: int
 ) -> list[str]:

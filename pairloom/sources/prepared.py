@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ DPO_COLUMNS = ("prompt", "chosen", "rejected")
 SFT_COLUMNS = ("prompt", "chosen")
 
 _TYPES = {"row_id": "bigint", "messages": MESSAGES_TYPE}
-# Lines looked at to learn which fields a JSON table has.
+# Lines looked at to learn whether a JSON table has the needed fields.
 _SAMPLE_LINES = 100
 
 
@@ -26,41 +26,63 @@ def require_columns(present: Iterable[str], required: Iterable[str]) -> None:
         raise ValueError(f"missing columns {missing}; needed are {list(required)}")
 
 
-def json_fields(spark: SparkSession, path: str) -> list[str]:
-    """Field names in the first lines; a declared schema would hide absent ones."""
-    lines = spark.read.text(path).where("value <> ''").limit(_SAMPLE_LINES)
+def json_fields(spark: SparkSession, path: str, whole: bool) -> list[str]:
+    """Field names of a JSON table, or only those of its first lines.
+
+    A declared schema would turn absent fields to null and hide undeclared ones.
+    """
+    lines = spark.read.text(path).where("trim(value) <> ''")
+    if not whole:
+        lines = lines.limit(_SAMPLE_LINES)
     fields = lines.select(F.explode(F.json_object_keys("value")).alias("field")).distinct()
     return sorted(row["field"] for row in fields.collect())
 
 
 def read_prepared(
-    spark: SparkSession, path: str, required: Iterable[str], *, file_format: str = "json"
+    spark: SparkSession,
+    path: str,
+    required: Sequence[str],
+    extra: Sequence[str] | None = None,
+    *,
+    file_format: str = "json",
 ) -> DataFrame:
-    """A prepared table with `row_id`; checks the columns before any full read.
+    """A prepared table with `row_id`; checks the columns before reading on.
 
-    Extra JSON fields pass through as text (`messages` as messages).
+    `extra` names further columns to keep. None keeps all: for JSON this takes
+    a pass over the lines to learn their fields, which then come as text
+    (`messages` as messages).
     """
-    if file_format != "json":
-        df = spark.read.format(file_format).load(path)
-        require_columns(df.columns, required)
+    if file_format == "json":
+        fields = json_fields(spark, path, whole=extra is None)
     else:
-        fields = json_fields(spark, path)
-        require_columns(fields, required)
-        schema = ", ".join(f"`{c}` {_TYPES.get(c, 'string')}" for c in fields)
+        fields = spark.read.format(file_format).load(path).columns
+    require_columns(fields, required)
+    if extra is None:
+        extra = [c for c in fields if c not in ("row_id", *required)]
+    columns = [*required, *extra]
+    numbered = [c for c in fields if c == "row_id"]
+    if file_format == "json":
+        schema = ", ".join(f"`{c}` {_TYPES.get(c, 'string')}" for c in [*numbered, *columns])
         df = spark.read.schema(schema).json(path)
-    rest = [c for c in df.columns if c != "row_id"]
-    if "row_id" in df.columns:
-        return df.select("row_id", *rest)
-    return with_row_id(df, *rest, columnar=file_format == "parquet")
+    else:
+        df = spark.read.format(file_format).load(path)
+    if numbered:
+        return df.select("row_id", *columns)
+    return with_row_id(df, *columns, columnar=file_format == "parquet")
 
 
 def load_training_text(spark: SparkSession, path: str, *, file_format: str = "json") -> DataFrame:
     """`row_id, text` for supervised tuning, out of a table of prepared pairs."""
-    return sft_text_from_pairs(read_prepared(spark, path, SFT_COLUMNS, file_format=file_format))
+    pairs = read_prepared(spark, path, SFT_COLUMNS, [], file_format=file_format)
+    return sft_text_from_pairs(pairs)
 
 
-def load_preference_data(spark: SparkSession, path: str, *, file_format: str = "json") -> DataFrame:
-    """`row_id` and the prepared pairs, with any extra columns."""
-    df = read_prepared(spark, path, DPO_COLUMNS, file_format=file_format)
-    rest = [c for c in df.columns if c not in ("row_id", *DPO_COLUMNS)]
-    return df.select("row_id", *DPO_COLUMNS, *rest)
+def load_preference_data(
+    spark: SparkSession,
+    path: str,
+    extra: Sequence[str] | None = None,
+    *,
+    file_format: str = "json",
+) -> DataFrame:
+    """`row_id` and the prepared pairs, with any extra columns (see `read_prepared`)."""
+    return read_prepared(spark, path, DPO_COLUMNS, extra, file_format=file_format)

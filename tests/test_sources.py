@@ -63,6 +63,21 @@ def test_load_subset_split_and_first_rows(spark, root):
         P.load_pairs(spark, root, "validation")
 
 
+def test_large_packed_files_are_spread(spark, tmp_path, monkeypatch):
+    for i in range(12):
+        write_lines(tmp_path / "s" / f"train-{i:02}.json.gz", [f"f{i}"] * (i + 1), gzip.open)
+
+    def shuffled():
+        df = P.load_pairs(spark, str(tmp_path), "train")
+        assert df.select("row_id").distinct().count() == 78
+        assert names(df) == [f"f{i}" for i in range(12) for _ in range(i + 1)]
+        return "REBALANCE" in df._jdf.queryExecution().executedPlan().toString()
+
+    assert not shuffled()
+    monkeypatch.setattr("pairloom.sources.pairs.PACKED_BYTES", 100)
+    assert shuffled()
+
+
 def test_row_ids_of_cut_files(spark, tmp_path):
     # Many small blocks per file, so that one file spans tasks.
     for name in ("one", "two"):
@@ -128,6 +143,20 @@ def test_required_columns(spark, tmp_path):
     full = P.load_preference_data(spark, str(tmp_path / "y.json"))
     assert full.columns == ["row_id", "prompt", "chosen", "rejected", "score"]
     assert tuple(full.first())[1:] == ("p", "c", "r", "2")
+    # A field that only a late line has is found, or left out on request.
+    line = '{"rejected": "r", "prompt": "p", "chosen": "c"}\n'
+    (tmp_path / "z.json").write_text(line * 500 + line.replace("}", ', "late": "x"}'))
+    late = P.load_preference_data(spark, str(tmp_path / "z.json"))
+    assert late.columns[-1] == "late" and late.where("late = 'x'").count() == 1
+    few = P.load_preference_data(spark, str(tmp_path / "z.json"), [])
+    assert few.columns == ["row_id", "prompt", "chosen", "rejected"] and few.count() == 501
+    few.write.parquet(str(tmp_path / "p"))
+    again = P.load_preference_data(spark, str(tmp_path / "p"), file_format="parquet")
+    assert again.exceptAll(few).count() == 0
+    bare = few.drop("row_id")
+    bare.write.parquet(str(tmp_path / "q"))
+    numbered = P.load_preference_data(spark, str(tmp_path / "q"), file_format="parquet")
+    assert numbered.select("row_id").distinct().count() == 501
 
 
 def test_save_paths():
