@@ -28,11 +28,19 @@ def local_session(name: str = "pairloom", cores: str | int = "*", **conf: str) -
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder for tables written between jobs.
 
-    It lies in the shared folder the cluster names in `spark.checkpoint.dir`,
-    so the loss of an executor or of a node loses nothing. Only where that is
-    unset, as in tests, a folder of this machine is used.
+    It lies in the shared folder the cluster names in `spark.checkpoint.dir`, or
+    else in the checkpoint folder of the context, so the loss of an executor or
+    of a node loses nothing. Only under a local master, as in tests, a folder of
+    this machine serves; elsewhere a missing setting is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        set_by_hand = spark.sparkContext._jsc.sc().getCheckpointDir()
+        shared = set_by_hand.get() if set_by_hand.isDefined() else None
     if shared:
         return f"{shared.rstrip('/')}/pairloom-{uuid.uuid4().hex}"
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError(
+            "set spark.checkpoint.dir to a folder that the driver and all executors share"
+        )
     return tempfile.mkdtemp(prefix="pairloom-")
