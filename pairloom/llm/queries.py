@@ -5,14 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .jaccard import similar_documents
+from .packing import pack_documents
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file() -> str:
+    """The public vocabulary that the queries use; operators take any such path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 token ids."""
+    packed = pack_documents(_table(spark, sf_dir, "documents"), tokenizer_file())
+    return packed.placed(
+        F.col("id").alias("doc_id"), "piece", "start", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked at a Jaccard similarity of 0.9 on 3-word shingles."""
     return similar_documents(_table(spark, sf_dir, "documents"), size=3, percent=90)
