@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .jaccard import similar_documents
+from .mixing import MIX_SQL, mix_sources
 from .packing import pack_documents
 
 
@@ -35,9 +36,23 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def rated_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling weights of the labelled documents: good ones 2, others a half."""
+    labels = _table(spark, sf_dir, "labels").where("quality IS NOT NULL")
+    mean = labels.groupBy(F.col("doc_id").alias("id")).agg(F.avg("quality").alias("mean"))
+    return mean.select("id", F.when(F.col("mean") >= 0.5, 2.0).otherwise(0.5).alias("weight"))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document a mix of one and a half times all words takes."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mix_sources(docs, quality=rated_quality(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_source_mixing": MIX_SQL}
