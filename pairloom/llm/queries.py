@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .jaccard import similar_documents
 from .mixing import MIX_SQL, mix_sources
 from .packing import pack_documents
+from .quality import fit_grades
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,37 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+GRADES = 3
+KEEP_FROM = 0.4  # least probability of the highest grade with which a document stays
+
+
+def document_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graded ratings from the labels: 0 poor, 1 sound but toxic, 2 good."""
+    grade = F.expr("CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 ELSE 2 END")
+    labels = _table(spark, sf_dir, "labels").where("quality IS NOT NULL")
+    return labels.select(F.col("doc_id").alias("id"), grade.alias("grade"))
+
+
+def graded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """docs with expected_grade, at_least and keep; the model is fitted on rated documents."""
+    rated = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_grades(rated, document_grades(spark, sf_dir), GRADES)
+    keep = F.element_at("at_least", GRADES - 1) >= KEEP_FROM
+    return model.score(docs).withColumn("keep", keep)
+
+
+def op4_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probabilities of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return graded(spark, docs, sf_dir).select(
+        "doc_id",
+        "expected_grade",
+        F.element_at("at_least", 1).alias("p_at_least_1"),
+        F.element_at("at_least", 2).alias("p_at_least_2"),
+        "keep",
+    )
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked at a Jaccard similarity of 0.9 on 3-word shingles."""
     return similar_documents(_table(spark, sf_dir, "documents"), size=3, percent=90)

@@ -68,13 +68,18 @@ def slices(offsets: np.ndarray, most: int = _BYTES_AT_ONCE) -> Iterator[tuple[in
         first = last
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word in order, and per text the number of words before it."""
+def words_of(
+    data: np.ndarray, offsets: np.ndarray, lower: bool, blank: np.ndarray = _BLANK
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word in order, and per text the number of words before it.
+
+    blank: which bytes separate words.
+    """
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     inside = np.zeros(n + 1, bool)
-    np.logical_not(_BLANK[data], out=inside[:n])
+    np.logical_not(blank[data], out=inside[:n])
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     start = inside[:n].copy()
