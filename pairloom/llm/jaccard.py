@@ -29,10 +29,10 @@ from .components import components
 from .tables import Scratch, narrowed
 from .words import mix, shingle_sets
 
-_COUNTERS = 1 << 20  # of the token counts, whatever the input
+_COUNTERS = 1 << 22  # of the token counts, whatever the input
 _CHUNK = 1 << 16
 _LOW = np.uint64(1 << 62)  # light tokens lie below: a quarter of all, prefixes need a tenth
-_LIGHT = 32  # documents a light token may have beyond twice the mean load of a counter
+_LIGHT = 32  # documents a light token may have beyond the usual load of a counter
 _BLOCK = 2048  # members of a combination that are compared in one task
 _STARS = 2  # rounds that link a group to its best member
 
@@ -42,6 +42,11 @@ def slack(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     return n - -(-n * percent // 100)
 
 
+def _counter(low: np.ndarray) -> np.ndarray:
+    """The counter of each low token: its leading bits."""
+    return (low >> np.uint64(62 - _COUNTERS.bit_length() + 1)).astype(np.int64)
+
+
 def _classes(level: int, percent: int) -> int:
     return max(1, -(-(slack(1 << level, percent) + 1) // 3))
 
@@ -95,13 +100,13 @@ def _describe(size: int, percent: int) -> Callable:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(_COUNTERS, np.int64)
+        counts = np.zeros(_COUNTERS, np.int32)
         for batch in batches:
             out: dict = {name: [] for name in schema.names}
             for tokens in shingle_sets(batch.column("text"), size):
                 n = len(tokens)
                 low = tokens[: np.searchsorted(tokens, _LOW)]
-                np.add.at(counts, (low >> np.uint64(42)).astype(np.int64), 1)
+                np.add.at(counts, _counter(low), 1)
                 first = 3 * (slack(n, percent) + 1) // 2 + 8
                 out["n"].append(n)
                 sums = np.array([mix(tokens).sum(), mix(~tokens).sum()], np.uint64)
@@ -114,7 +119,7 @@ def _describe(size: int, percent: int) -> Callable:
                 [x if isinstance(x := out[f.name], pa.Array) else pa.array(x, f.type) for f in schema],
                 schema=schema,
             )
-        chunks = counts.astype(np.uint32).reshape(-1, _CHUNK)
+        chunks = np.minimum(counts, 65535).astype(np.uint16).reshape(-1, _CHUNK)  # more is frequent anyway
         full = np.flatnonzero(chunks.any(1))
         empty = [None] * len(full)
         yield _batch(
@@ -127,7 +132,7 @@ def _describe(size: int, percent: int) -> Callable:
 
 
 def _sum_chunks(frame):
-    total = np.sum([np.frombuffer(x, np.uint32).astype(np.uint64) for x in frame["counts"]], axis=0)
+    total = sum(np.frombuffer(x, np.uint16).astype(np.uint32) for x in frame["counts"])
     return frame.head(1).assign(counts=[total.tobytes()])[["chunk", "counts"]]
 
 
@@ -142,7 +147,7 @@ def _token_counts(described: DataFrame) -> np.ndarray:
     counts = np.zeros(_COUNTERS, np.int64)
     for row in some.toLocalIterator():
         at = row["chunk"] * _CHUNK
-        counts[at : at + _CHUNK] += np.frombuffer(row["counts"], np.uint64).astype(np.int64)
+        counts[at : at + _CHUNK] += np.frombuffer(row["counts"], np.uint32)
     return counts
 
 
@@ -159,7 +164,7 @@ def _light_keys(counts, limit: float, percent: int) -> Callable:
             for i, n, low in zip(*(batch.column(c).to_pylist() for c in ("id", "n", "low")), strict=True):
                 tokens = np.frombuffer(low, np.uint64)
                 need = slack(n, percent) + 1
-                light = tokens[table[(tokens >> np.uint64(42)).astype(np.int64)] < limit][:need]
+                light = tokens[table[_counter(tokens)] < limit][:need]
                 short = len(light) < need
                 keys.append(np.zeros(1, np.int64) if short else light.astype(np.int64))
                 ids.append(np.full(len(keys[-1]), i))
@@ -184,7 +189,7 @@ def _extended_keys(counts, limit: float, size: int, percent: int) -> Callable:
                 n = len(tokens)
                 low = tokens < _LOW
                 light = np.zeros(n, bool)
-                light[low] = table[(tokens[low] >> np.uint64(42)).astype(np.int64)] < limit
+                light[low] = table[_counter(tokens[low])] < limit
                 need = slack(n, percent) + 1
                 singles, rest = tokens[light][:need], tokens[~light]
                 keys = [singles.astype(np.int64)]
@@ -405,7 +410,8 @@ def similar_documents(
         rows.where("n > 0 AND id IS NOT NULL").groupBy("print").agg(F.min("id").alias("first")), "same"
     )
     counts = _token_counts(described)
-    limit = 2 * counts.sum() / _COUNTERS + _LIGHT
+    load = counts.mean()
+    limit = load + 2 * load**0.5 + _LIGHT
     counts = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
 
     # A set this small is linked with equal sets only.
