@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .jaccard import similar_documents
+from .lines import dedup_lines
 from .mixing import MIX_SQL, mix_sources
 from .packing import pack_documents
 from .quality import fit_grades
@@ -68,6 +69,17 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document keeps when lines within two edits of an earlier one go."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select(
+        "doc_id",
+        F.octet_length("text").cast("long").alias("n_bytes_kept"),
+        F.col("n_lines_removed").cast("long").alias("n_lines_removed"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def rated_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling weights of the labelled documents: good ones 2, others a half."""
     labels = _table(spark, sf_dir, "labels").where("quality IS NOT NULL")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.session import scratch_dir
@@ -25,25 +25,42 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
-def narrowed(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows of df whose key occurs in ids (one column `id`), wide columns moved little.
+def mark_table(values: DataFrame, column: str, hashed: bool) -> DataFrame:
+    """(__word, __marks): a bit set for each value, of a fixed number of bits.
 
-    Marks of all ids, hashed to a fixed number of bits, are broadcast (a proven
-    bound of 65,536 rows) and drop most other rows at the scan; an exact semi
-    join follows, which moves only what the marks let through.
+    At most 65,536 rows whatever the input, so the table may be broadcast.
     """
-    bit = F.xxhash64("id").bitwiseAND(F.lit(_MARK_BITS - 1))
-    marks = (
-        ids.select(bit.alias("bit"))
-        .groupBy(F.shiftright("bit", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("marks"))
+    value = F.xxhash64(column) if hashed else F.col(column)
+    return (
+        values.select(value.bitwiseAND(F.lit(_MARK_BITS - 1)).alias("__bit"))
+        .groupBy(F.shiftright("__bit", 6).alias("__word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(__bit & 63 AS INT))")).alias("__marks"))
     )
-    own = F.xxhash64(F.col(key)).bitwiseAND(F.lit(_MARK_BITS - 1))
-    hit = (
-        df.withColumn("__bit", own)
-        .withColumn("__word", F.shiftright("__bit", 6))
-        .join(F.broadcast(marks), F.col("__word") == F.col("word"))
-        .where(F.expr("(shiftright(marks, CAST(__bit & 63 AS INT)) & 1L) = 1L"))
-        .drop("__bit", "__word", "word", "marks")
+
+
+def with_mark(df: DataFrame, marks: DataFrame, value: Column) -> DataFrame:
+    """df with __hit: whether the value of a row may be among the marked ones."""
+    return (
+        df.withColumn("__bit", value.bitwiseAND(F.lit(_MARK_BITS - 1)))
+        .join(F.broadcast(marks), F.shiftright("__bit", 6) == F.col("__word"), "left")
+        .withColumn("__hit", F.expr("coalesce((shiftright(__marks, CAST(__bit & 63 AS INT)) & 1L) = 1L, false)"))
+        .drop("__bit", "__word", "__marks")
     )
+
+
+def mark_bytes(values: DataFrame, column: str) -> tuple[bytes, int]:
+    """Marks of values that are hashes already, as bytes, and how many bits they are."""
+    words = bytearray(_MARK_BITS // 8)
+    for row in mark_table(values, column, hashed=False).toLocalIterator():
+        words[8 * row["__word"] : 8 * row["__word"] + 8] = row["__marks"].to_bytes(8, "little", signed=True)
+    return bytes(words), _MARK_BITS
+
+
+def narrowed(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of df whose key occurs in ids (one column `id`), wide columns moved little.
+
+    Marks of all ids are broadcast and drop most other rows at the scan; an exact
+    semi join follows, which moves only what the marks let through.
+    """
+    hit = with_mark(df, mark_table(ids, "id", hashed=True), F.xxhash64(F.col(key))).where("__hit").drop("__hit")
     return hit.join(ids.select(F.col("id").alias("__id")), F.col(key) == F.col("__id"), "left_semi")
