@@ -128,7 +128,8 @@ def mix_sources(
     key: str = "doc_id",
     text: str = "text",
     source: str = "source",
-    quality: DataFrame | None = None,
+    quality: DataFrame | Column | None = None,
+    columns: list[str] | None = None,
     weights: tuple[float, ...] = (3, 1, 2),
     share: float = 1.5,
     passes: float = 2,
@@ -139,29 +140,31 @@ def mix_sources(
     size is the number of words (null text: 0); taken is copies times size. The
     draw of a document depends on seed and key alone, so reruns agree; rows of one
     key have one draw and are taken together, as are rows with a null key. quality
-    (id, weight; one row per id) scales the draws; a document it lacks weighs 1, a
-    weight that is null or not positive next to nothing. The last document of a
+    scales the draws: a column of docs, or a table (id, weight; one row per id) that
+    is joined after the texts are counted; a document it lacks weighs 1, a weight
+    that is null or not positive next to nothing. columns: those of docs to return,
+    all if not given; with a table of weights, name no wide ones. The last document of a
     source is taken if that brings the source nearer to its target. Sources of
     size 0 get nothing, an empty table gives an empty result. Columns of docs with
     the names of the result are replaced.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     added = ["size", "source_size", "target", "taken", "copies"]
-    own = docs.drop(*[c for c in added if c in docs.columns and c not in (key, text, source)])
-    shared = F.expr("1.0D")
-    if quality is not None:
-        weight = quality.select(F.col("id").alias("__id"), F.col("weight").cast("double").alias("__weight"))
-        own = own.join(weight, F.col(key) == F.col("__id"), "left")
-        shared = F.when(F.col("__id").isNull(), F.lit(1.0)).otherwise(F.col("__weight"))
-    facts = {
-        "__size": word_count(F.col(text)),
-        "__draw": sampling_key(F.col(key), shared, seed),
-        "__tie": F.coalesce(F.col(key).cast("string"), F.lit("")),
-    }
-    names = [c for c in own.columns if not c.startswith("__")]
-    staged = scratch.put(own.select(*names, *[c.alias(n) for n, c in facts.items()]), "sized")
+    if columns is None:
+        columns = [c for c in docs.columns if c not in added or c in (key, source)]
+    tie = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    facts = docs.select(
+        *columns, F.col(source).alias("__from"), word_count(F.col(text)).alias("__size"), tie.alias("__tie"),
+        F.col(key).alias("__key"), (quality if isinstance(quality, Column) else F.lit(1.0)).alias("__weigh"),
+    )
+    if isinstance(quality, DataFrame):
+        table = quality.select(F.col("id").alias("__id"), F.col("weight").cast("double").alias("__weight"))
+        weigh = F.when(F.col("__id").isNull(), F.lit(1.0)).otherwise(F.col("__weight"))
+        facts = facts.join(table, F.col("__key") == F.col("__id"), "left").withColumn("__weigh", weigh)
+    draw = sampling_key(F.col("__key"), F.col("__weigh"), seed)
+    staged = scratch.put(facts.select(*columns, "__from", "__size", "__tie", draw.alias("__draw")), "sized")
     sized = staged.select(
-        F.col(source).alias("source"), *[F.col(n).alias(n[2:]) for n in facts]
+        F.col("__from").alias("source"), *[F.col(f"__{n}").alias(n) for n in ("size", "draw", "tie")]
     )
     plan = mixing_plan(sized, scratch, weights, share, passes)
     plan = plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns])
@@ -174,8 +177,8 @@ def mix_sources(
         | ((digits[1] == F.col("__low")) & (draw <= F.col("__cut")))
     )
     copies = F.col("__whole") + F.coalesce(in_rest, F.lit(False)).cast("long")
-    return staged.join(plan, F.col(source).eqNullSafe(F.col("__source"))).select(
-        *names,
+    return staged.join(plan, F.col("__from").eqNullSafe(F.col("__source"))).select(
+        *columns,
         F.col("__size").alias("size"),
         F.col("__source_size").alias("source_size"),
         F.col("__target").alias("target"),

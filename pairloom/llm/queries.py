@@ -90,7 +90,7 @@ def rated_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document a mix of one and a half times all words takes."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    mixed = mix_sources(docs, quality=rated_quality(spark, sf_dir))
+    mixed = mix_sources(docs, quality=rated_quality(spark, sf_dir), columns=["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
