@@ -14,13 +14,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .tables import narrowed
 from .words import slices, text_bytes, words_of
 
+GRADES = 3
+KEEP_FROM = 0.4  # least probability of the highest grade with which a document stays
+
 _APART = np.ones(256, bool)  # bytes that separate words: all but letters, digits, non-ASCII
 _APART[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _STEPS = np.array([0.002, 0.005, 0.01, 0.02, 0.04, 0.08, 0.15, 0.25, 0.4, 0.6, 0.8])
@@ -197,3 +200,18 @@ def fit_grades(
     )
     used = np.flatnonzero(weights[: len(known)])
     return GradeModel(known[used], np.r_[weights[used], weights[len(known) :]], thresholds)
+
+
+def document_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graded ratings from the labels: 0 poor, 1 sound but toxic, 2 good."""
+    grade = F.expr("CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 ELSE 2 END")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality IS NOT NULL")
+    return labels.select(F.col("doc_id").alias("id"), grade.alias("grade"))
+
+
+def graded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """docs with expected_grade, at_least and keep; the model is fitted on rated documents."""
+    rated = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    model = fit_grades(rated, document_grades(spark, sf_dir), GRADES)
+    keep = F.element_at("at_least", GRADES - 1) >= KEEP_FROM
+    return model.score(docs).withColumn("keep", keep)

@@ -7,24 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from .jaccard import similar_documents
 from .lines import dedup_lines
 from .mixing import MIX_SQL, mix_sources
 from .packing import pack_documents
-from .quality import fit_grades
+from .quality import graded
+from .tokens import tokenizer_file
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_file() -> str:
-    """The public vocabulary that the queries use; operators take any such path."""
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 token ids."""
     packed = pack_documents(_table(spark, sf_dir, "documents"), tokenizer_file())
@@ -33,25 +29,6 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-GRADES = 3
-KEEP_FROM = 0.4  # least probability of the highest grade with which a document stays
-
-
-def document_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Graded ratings from the labels: 0 poor, 1 sound but toxic, 2 good."""
-    grade = F.expr("CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 ELSE 2 END")
-    labels = _table(spark, sf_dir, "labels").where("quality IS NOT NULL")
-    return labels.select(F.col("doc_id").alias("id"), grade.alias("grade"))
-
-
-def graded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs with expected_grade, at_least and keep; the model is fitted on rated documents."""
-    rated = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = fit_grades(rated, document_grades(spark, sf_dir), GRADES)
-    keep = F.element_at("at_least", GRADES - 1) >= KEEP_FROM
-    return model.score(docs).withColumn("keep", keep)
-
-
 def op4_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and tail probabilities of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -95,8 +72,10 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    own = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return own | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_source_mixing": MIX_SQL}
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {"op9_source_mixing": MIX_SQL} | pipeline

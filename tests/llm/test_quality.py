@@ -4,8 +4,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from pairloom.llm.quality import SHAPES, GradeModel, fit_grades
-from pairloom.llm.queries import document_grades, op4_quality_grades
+from pairloom.llm.quality import SHAPES, GradeModel, document_grades, fit_grades
+from pairloom.llm.queries import op4_quality_grades
 
 SF = "/root/testdata/sf0.1"
 
