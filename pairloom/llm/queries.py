@@ -15,6 +15,7 @@ from .mixing import MIX_SQL, mix_sources
 from .packing import pack_documents
 from .quality import graded
 from .tokens import tokenizer_file
+from .urls import URL_SQL, judge_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +30,21 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page by a short list of rules."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
 def op4_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and tail probabilities of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -78,4 +94,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return {"op9_source_mixing": MIX_SQL} | pipeline
+    return {"op2_url_filters": URL_SQL, "op9_source_mixing": MIX_SQL} | pipeline
