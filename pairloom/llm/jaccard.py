@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import Scratch, narrowed
+from .tables import Scratch, mark_table, narrowed, with_mark
 from .words import mix, shingle_sets
 
-_COUNTERS = 1 << 22  # of the token counts, whatever the input
+_COUNTERS = 1 << 21  # of the token counts, whatever the input
 _CHUNK = 1 << 16
 _LOW = np.uint64(1 << 62)  # light tokens lie below: a quarter of all, prefixes need a tenth
 _LIGHT = 32  # documents a light token may have beyond the usual load of a counter
@@ -406,9 +406,10 @@ def similar_documents(
         "described",
     )
     rows = described.where("chunk IS NULL")
-    same = scratch.put(
-        rows.where("n > 0 AND id IS NOT NULL").groupBy("print").agg(F.min("id").alias("first")), "same"
-    )
+    prints = rows.where("n > 0 AND id IS NOT NULL").select("id", "print")
+    same = prints.groupBy("print").agg(F.min("id").alias("first"), F.count("*").alias("times"))
+    copies = prints.join(same.where("times > 1"), "print").where("id <> first")
+    copies = scratch.put(copies.select(F.col("id").alias("a"), F.col("first").alias("b"), "print"), "copies")
     counts = _token_counts(described)
     load = counts.mean()
     limit = load + 2 * load**0.5 + _LIGHT
@@ -416,10 +417,12 @@ def similar_documents(
 
     # A set this small is linked with equal sets only.
     least = next(n for n in range(1, 1000) if slack(n, percent) or n * 100 // percent > n)
-    firsts = rows.where(f"n >= {least}").join(
-        same.select(F.col("first").alias("id"), "print"), ["id", "print"], "left_semi"
+    marked = with_mark(rows.where(f"n >= {least}"), mark_table(copies, "a", hashed=True), F.xxhash64("id"))
+    wide = ["id", "n", "low", "parity"]
+    firsts = marked.where("NOT __hit").select(wide).unionByName(
+        marked.where("__hit").join(copies.withColumnRenamed("a", "id"), ["id", "print"], "left_anti").select(wide)
     )
-    firsts = scratch.put(firsts.select("id", "n", "low", "parity"), "firsts")
+    firsts = scratch.put(firsts.where("id IS NOT NULL"), "firsts")
     keys = scratch.put(
         firsts.select("id", "n", "low").mapInArrow(_light_keys(counts, limit, percent), _KEYS), "keys"
     )
@@ -458,7 +461,6 @@ def similar_documents(
         ),
         "sets",
     )
-    copies = rows.where("n > 0").join(same, "print").select(F.col("id").alias("a"), F.col("first").alias("b"))
     links = scratch.put(_linked(pairs, sets, percent), "links")
     parts = components(links, scratch)
     for stars in [True] * _STARS + [False]:
@@ -469,12 +471,14 @@ def similar_documents(
             .mapInArrow(_group_pairs(percent, stars), "a long, b long")
             .distinct()
         )
-        found = scratch.put(_linked(found, sets, percent), "links")
+        found = scratch.put(found, "found")
+        ends = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        found = scratch.put(_linked(found, narrowed(sets, ends, "id"), percent), "links")
         if stars and found.isEmpty():
             continue
         links = links.unionByName(found)
         parts = components(links, scratch)
-    parts = components(links.unionByName(copies.where("a <> b")), scratch)
+    parts = components(links.unionByName(copies.drop("print")), scratch)
     return (
         rows.select("id", "n")
         .join(parts, "id", "left")
