@@ -16,6 +16,7 @@ from .packing import pack_documents
 from .quality import graded
 from .tokens import tokenizer_file
 from .urls import URL_SQL, judge_urls
+from .vectors import nearest_vectors, similar_vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +63,11 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings linked at a cosine of 0.95."""
+    return similar_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each document keeps when lines within two edits of an earlier one go."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -73,6 +79,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth embedding, against all rows."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest_vectors(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def rated_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling weights of the labelled documents: good ones 2, others a half."""
     labels = _table(spark, sf_dir, "labels").where("quality IS NOT NULL")
