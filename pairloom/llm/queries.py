@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from .jaccard import similar_documents
+from .licences import document_licences, fit_licences
 from .lines import dedup_lines
 from .mixing import MIX_SQL, mix_sources
 from .packing import pack_documents
@@ -46,6 +47,12 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence that each document names, or unknown."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return document_licences(docs, fit_licences(docs))
+
+
 def op4_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and tail probabilities of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
