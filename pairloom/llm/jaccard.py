@@ -440,6 +440,7 @@ def similar_documents(
         .mapInArrow(_light_pairs(percent), "a long, b long")
         .distinct()
     )
+    pairs = scratch.put(pairs, "met", narrow=True)
     p = firsts.select(F.col("id").alias("a"), "n", F.col("parity").alias("p"))
     q = firsts.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("parity").alias("q"))
     pairs = pairs.join(p, "a").join(q, "b").mapInArrow(_passes(percent), "a long, b long")

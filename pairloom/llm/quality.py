@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import narrowed
+from .tables import narrowed, text_batches
 from .words import slices, text_bytes, words_of
 
 GRADES = 3
@@ -89,6 +89,7 @@ class GradeModel:
         Columns of docs with these names are replaced. A null text scores like an
         empty one. No rows are dropped or moved.
         """
+        text_batches(docs.sparkSession)
         model = docs.sparkSession.sparkContext.broadcast(self)
         own = docs.drop("expected_grade", "at_least")
         schema = T.StructType(list(own.schema.fields))

@@ -12,16 +12,36 @@ from pairloom.session import scratch_dir
 _MARK_BITS = 1 << 22  # bits of the id marks: at most 65,536 broadcast rows of 64 bits
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_TEXTS, _NARROW = 1000, 10_000  # rows that go to a Python worker at once
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Hand workers at most so many whole texts at once from now on, in this session."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= _TEXTS:
+        spark.conf.set(_BATCH, str(_TEXTS))
+
+
 class Scratch:
     """One new folder in the shared storage; tables written there cut lineage."""
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark, self.folder = spark, scratch_dir(spark)
+        text_batches(spark)
+
+    def put(self, df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+        """Write a table and read it back, so that it is computed once.
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a table and read it back, so that it is computed once."""
+        narrow: rows are a few numbers, so workers may get more of them at once.
+        """
         path = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(_BATCH)
+        if narrow:
+            self.spark.conf.set(_BATCH, str(_NARROW))
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_BATCH, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
