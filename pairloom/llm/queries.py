@@ -15,6 +15,7 @@ from .lines import dedup_lines
 from .mixing import MIX_SQL, mix_sources
 from .packing import pack_documents
 from .quality import graded
+from .substrings import remove_repeats
 from .tokens import tokenizer_file
 from .urls import URL_SQL, judge_urls
 from .vectors import nearest_vectors, similar_vectors
@@ -70,6 +71,20 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps when strings of 400 bytes that occur again go."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return remove_repeats(docs).select(
+        "doc_id",
+        n_bytes.alias("n_bytes"),
+        gone.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings linked at a cosine of 0.95."""
     return similar_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
