@@ -46,8 +46,17 @@ def written_keys(keys: DataFrame) -> DataFrame:
 def nth_smallest(keys: DataFrame, n: int, direct: int = DIRECT) -> str | None:
     """The n-th smallest of the unique, fixed-width hex texts in column `k`.
 
-    The largest key if there are fewer than n; None if there are no keys.
+    The largest key if there are fewer than n; None if there are no keys. A key
+    at the border that occurs more than once is an error: "up to the n-th" would
+    then be more than n rows.
     """
+    found = _nth_smallest(keys, n, direct)
+    if found is not None and keys.where(F.col("k") == F.lit(found)).limit(2).count() > 1:
+        raise ValueError("the key is not unique; number the rows anew, as by ingest_pairs")
+    return found
+
+
+def _nth_smallest(keys: DataFrame, n: int, direct: int) -> str | None:
     prefix, left = "", n
     group = keys
     while left > direct:
@@ -60,6 +69,8 @@ def nth_smallest(keys: DataFrame, n: int, direct: int = DIRECT) -> str | None:
         ).first()["at"]
         if found is None:
             return group.agg(F.max("k")).first()[0]
+        if not found["digits"]:  # all digits are used up: this is one repeated key
+            return prefix
         prefix += found["digits"]
         left -= found["upto"] - found["size"]
         group = keys.where(F.startswith("k", F.lit(prefix)))

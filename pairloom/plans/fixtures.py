@@ -47,7 +47,10 @@ def conversations_from_turns(turns: DataFrame) -> DataFrame:
 
 
 def pairs_from_turns(turns: DataFrame) -> DataFrame:
-    """`row_id, chosen, rejected`; the rejected reply is the next conversation's."""
+    """`row_id, chosen, rejected`; the rejected reply is the next conversation's.
+
+    A conversation without a next one keeps its own reply.
+    """
     whole = conversations_from_turns(turns)
     sides = bind_columns(
         whole, ["conv_id", "chosen"], parsed=T.format_conversation(F.col("chosen"))
@@ -58,9 +61,10 @@ def pairs_from_turns(turns: DataFrame) -> DataFrame:
     before = F.coalesce("conv_id", F.lit(0)) - 1
     other = whole.select(before.alias("conv_id"), T.last_response(F.col("chosen")).alias("other"))
     rejected = F.concat(
-        F.lit(T.BLANK_LINE), "parsed.prompt", F.lit(T.BLANK_LINE + T.ASSISTANT + " "), "other"
+        F.lit(T.BLANK_LINE), "parsed.prompt", F.lit(T.BLANK_LINE + T.ASSISTANT + " "),
+        F.coalesce("other", "parsed.response"),
     )
-    return sides.join(other, "conv_id").select(
+    return sides.join(other, "conv_id", "left").select(
         F.col("conv_id").alias("row_id"), "chosen", rejected.alias("rejected")
     )
 

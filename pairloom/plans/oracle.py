@@ -66,8 +66,8 @@ conv AS (
 {_side("conv", "chosen", "conv")},
 pairs AS (
   SELECT conv.row_id, conv.chosen,
-         {_NL2} || a.prompt || {_NL2} || 'Assistant: ' || b.response AS rejected
-  FROM conv JOIN conv_side AS a USING (row_id) JOIN conv_side AS b ON b.row_id = conv.row_id + 1)"""
+         {_NL2} || a.prompt || {_NL2} || 'Assistant: ' || coalesce(b.response, a.response) AS rejected
+  FROM conv JOIN conv_side AS a USING (row_id) LEFT JOIN conv_side AS b ON b.row_id = conv.row_id + 1)"""
 
 _EDGES = f"""
 edges AS (

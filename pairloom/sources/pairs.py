@@ -14,14 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.operators.limits import first_rows
-from pairloom.sources.rows import with_row_id
+from pairloom.session import scratch_dir
+from pairloom.sources.rows import staged_rows, with_row_id
 
 PAIR_SCHEMA = "chosen string, rejected string"
 # The split names of the pair files.
 SPLITS = ("train", "test")
 
-# The largest gzip file that one task may read and parse on its own.
-PACKED_BYTES = 128 * 1024 * 1024
+# Endings of files that one task must read whole.
+PACKED = (".gz", ".zst", ".snappy", ".lz4", ".deflate")
 
 _PLACE = r"/([^/]+)/(train|test)[^/]*(?:/[^/]+)?$"
 
@@ -50,20 +51,10 @@ def _as_path(name: str) -> str:
 def _spread(df: DataFrame, files: Sequence[str]) -> DataFrame:
     """Even out rows that come from packed files, before they are parsed.
 
-    A gzip file is read by one task however large it is. Where one is larger
-    than a usual task, or there are fewer files than cores, the rows are
-    shuffled once into parts of even size; otherwise nothing is moved.
+    A packed file is read by one task however large it is. Where there are any, the
+    rows are shuffled once into parts of even size; otherwise nothing is moved.
     """
-    spark = df.sparkSession
-    packed = [_as_path(name) for name in files if name.endswith(".gz")]
-    if not packed:
-        return df
-    few = len(files) < spark.sparkContext.defaultParallelism
-    # Lists the files; their content is not read.
-    sizes = spark.read.format("binaryFile").load(packed).select("length")
-    if few or sizes.agg(F.max("length")).first()[0] > PACKED_BYTES:
-        return df.hint("rebalance")
-    return df
+    return df.hint("rebalance") if any(name.endswith(PACKED) for name in files) else df
 
 
 def _first_files(
@@ -93,7 +84,8 @@ def load_pairs(
 
     None stands for all subsets and for all splits. `max_samples` keeps the
     first rows of the table, or of each split when all splits are loaded; files
-    beyond those rows are not read.
+    beyond those rows are not read. As that takes ids which hold over two reads,
+    text files are then staged in the scratch folder; see `ingest_pairs`.
     """
 
     def load(paths: Sequence[str]) -> DataFrame:
@@ -111,6 +103,9 @@ def load_pairs(
             of_split = [f for f in files if re.search(_PLACE, f)[2] == name]
             wanted += _first_files(load, of_split, max_samples)
     df = found if wanted == files else load(wanted)
+    if max_samples is not None and file_format != "parquet":
+        pairs = staged_rows(df, "chosen", "rejected", *_place(), files=files, target=scratch_dir(spark))
+        return first_rows(pairs, max_samples, splits=SPLITS if split is None else None)
     pairs = with_row_id(
         df, "chosen", "rejected", *_place(), files=files, columnar=file_format == "parquet"
     )
@@ -120,6 +115,27 @@ def load_pairs(
     return first_rows(pairs, max_samples, splits=SPLITS if split is None else None)
 
 
+def ingest_pairs(
+    spark: SparkSession,
+    root: str,
+    target: str,
+    split: str | None = None,
+    subset: str | None = None,
+    *,
+    file_format: str = "json",
+) -> DataFrame:
+    """The pairs of text files, staged as parquet under `target`, with lasting `row_id`.
+
+    Ids are 0, 1, 2, ... in file order. Work that looks at the ids twice, as the first
+    n rows and the split do, starts from this table.
+    """
+    scan = spark.read.schema(PAIR_SCHEMA).format(file_format).load(_pattern(root, subset, split))
+    files = sorted(scan.inputFiles())
+    if not files:
+        raise ValueError(f"no files under {root}")
+    return staged_rows(scan, "chosen", "rejected", *_place(), files=files, target=target)
+
+
 def stream_pairs(
     spark: SparkSession,
     root: str,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +18,6 @@ DPO_COLUMNS = ("prompt", "chosen", "rejected")
 SFT_COLUMNS = ("prompt", "chosen")
 
 _TYPES = {"row_id": "bigint", "messages": MESSAGES_TYPE}
-# Lines looked at to learn whether a JSON table has the needed fields.
-_SAMPLE_LINES = 100
 
 
 def require_columns(present: Iterable[str], required: Iterable[str]) -> None:
@@ -26,63 +26,83 @@ def require_columns(present: Iterable[str], required: Iterable[str]) -> None:
         raise ValueError(f"missing columns {missing}; needed are {list(required)}")
 
 
-def json_fields(spark: SparkSession, path: str, whole: bool) -> list[str]:
-    """Field names of a JSON table, or only those of its first lines.
-
-    A declared schema would turn absent fields to null and hide undeclared ones.
-    """
+def json_fields(spark: SparkSession, path: str) -> list[str]:
+    """All field names of a JSON table; a declared schema would hide undeclared ones."""
     lines = spark.read.text(path).where("trim(value) <> ''")
-    if not whole:
-        lines = lines.limit(_SAMPLE_LINES)
     fields = lines.select(F.explode(F.json_object_keys("value")).alias("field")).distinct()
     return sorted(row["field"] for row in fields.collect())
 
 
+def _present(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns that hold a value in some row, or all of them of an empty table."""
+    counts = df.agg(F.count("*").alias("__rows"), *[F.count(c).alias(c) for c in columns]).first()
+    return [c for c in columns if counts[c] or not counts["__rows"]]
+
+
 def read_prepared(
     spark: SparkSession,
     path: str,
     required: Sequence[str],
-    extra: Sequence[str] | None = None,
+    extra: Sequence[str] | str = (),
     *,
     file_format: str = "json",
+    on_null: str = "fail",
 ) -> DataFrame:
-    """A prepared table with `row_id`; checks the columns before reading on.
+    """A prepared table with `row_id`.
 
-    `extra` names further columns to keep. None keeps all: for JSON this takes
-    a pass over the lines to learn their fields, which then come as text
-    (`messages` as messages).
+    `extra` names further columns to keep; "all" keeps all: for JSON this takes a
+    pass over the lines to learn their fields, which then come as text (`messages`
+    as messages). A required column without any value is missing, which is an error
+    at once. A null among the values of one, as of an absent field or a malformed
+    line, fails the job (`on_null="fail"`) or drops the row (`"drop"`).
     """
+    if on_null not in ("fail", "drop"):
+        raise ValueError(f"on_null must be fail or drop, not {on_null!r}")
     if file_format == "json":
-        fields = json_fields(spark, path, whole=extra is None)
+        fields = json_fields(spark, path) if extra == "all" else [*required, *extra, "row_id"]
     else:
         fields = spark.read.format(file_format).load(path).columns
     require_columns(fields, required)
-    if extra is None:
+    if extra == "all":
         extra = [c for c in fields if c not in ("row_id", *required)]
     columns = [*required, *extra]
     numbered = [c for c in fields if c == "row_id"]
     if file_format == "json":
         schema = ", ".join(f"`{c}` {_TYPES.get(c, 'string')}" for c in [*numbered, *columns])
         df = spark.read.schema(schema).json(path)
+        present = _present(df, [*required, *numbered])
+        require_columns(present, required)
+        numbered = [c for c in numbered if c in present]
     else:
         df = spark.read.format(file_format).load(path)
     if numbered:
-        return df.select("row_id", *columns)
-    return with_row_id(df, *columns, columnar=file_format == "parquet")
+        df = df.select("row_id", *columns)
+    else:
+        df = with_row_id(df, *columns, columnar=file_format == "parquet")
+    absent = reduce(or_, [F.col(c).isNull() for c in required])
+    if on_null == "drop":
+        return df.where(~absent)
+    fail = F.raise_error(F.lit(f"null in a needed column of {list(required)}")).cast("string")
+    return df.withColumns({c: F.when(absent, fail).otherwise(F.col(c)) for c in required})
 
 
-def load_training_text(spark: SparkSession, path: str, *, file_format: str = "json") -> DataFrame:
+def load_training_text(
+    spark: SparkSession, path: str, *, file_format: str = "json", on_null: str = "fail"
+) -> DataFrame:
     """`row_id, text` for supervised tuning, out of a table of prepared pairs."""
-    pairs = read_prepared(spark, path, SFT_COLUMNS, [], file_format=file_format)
+    pairs = read_prepared(spark, path, SFT_COLUMNS, file_format=file_format, on_null=on_null)
     return sft_text_from_pairs(pairs)
 
 
 def load_preference_data(
     spark: SparkSession,
     path: str,
-    extra: Sequence[str] | None = None,
+    extra: Sequence[str] | str = (),
     *,
     file_format: str = "json",
+    on_null: str = "fail",
 ) -> DataFrame:
     """`row_id` and the prepared pairs, with any extra columns (see `read_prepared`)."""
-    return read_prepared(spark, path, DPO_COLUMNS, extra, file_format=file_format)
+    return read_prepared(
+        spark, path, DPO_COLUMNS, extra, file_format=file_format, on_null=on_null
+    )

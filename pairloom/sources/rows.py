@@ -5,14 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # row_id = file rank, then position in the file: 21 and 42 bits.
 POSITION_BITS = 42
 MAX_FILES = 2 ** (63 - POSITION_BITS)
-# Broadcast the list of files only up to this many bytes of names.
-BROADCAST_BYTES = 64 * 1024 * 1024
 
 # The two ways Spark names a file differ in the slashes after the scheme.
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
@@ -29,6 +27,24 @@ def _position(columnar: bool) -> Column:
     return F.col("_metadata.file_block_start") + in_task
 
 
+def _file_hash() -> Column:
+    """The file of a row, as a hash of its name."""
+    return F.xxhash64(F.regexp_replace("_metadata.file_path", _SCHEME, "/")).alias("file_hash")
+
+
+def file_ranks(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """`file_hash, file_rank`: 16 bytes a file, so the longest list allowed is 32 MB to broadcast."""
+    if len(files) > MAX_FILES:
+        raise ValueError(f"{len(files)} files; compact them to {MAX_FILES} at most")
+    named = [(rank, re.sub(_SCHEME, "/", name)) for rank, name in enumerate(files)]
+    ranks = spark.createDataFrame(named, "file_rank bigint, file_name string").select(
+        F.xxhash64("file_name").alias("file_hash"), "file_rank"
+    )
+    if ranks.select("file_hash").distinct().count() < len(files):
+        raise ValueError("two file names share a hash; rename one of them")
+    return ranks
+
+
 def with_row_id(
     df: DataFrame,
     *columns: str | Column,
@@ -38,29 +54,51 @@ def with_row_id(
     """Put a unique `row_id`, ascending in (file name, position), before `columns`.
 
     `df` must be a plain file scan, of `files` or of some of them. Ids of text
-    files depend on how the scan is cut into tasks; write the ingested table
-    once and read that.
+    files depend on how the scan is cut into tasks, and repeat where a task reads
+    several blocks: `staged_rows` gives ids that hold.
     """
     files = sorted(df.inputFiles() if files is None else files)
-    if len(files) > MAX_FILES:
-        raise ValueError(f"{len(files)} files; compact them to {MAX_FILES} at most")
     wanted = columns or tuple(df.columns)
     position = _position(columnar)
     if len(files) <= 1:
         return df.select(position.alias("row_id"), *wanted)
-    spark = df.sparkSession
-    named = [(rank, re.sub(_SCHEME, "/", name)) for rank, name in enumerate(files)]
-    ranks = spark.createDataFrame(named, "file_rank bigint, file_name string")
-    if sum(map(len, files)) <= BROADCAST_BYTES:
-        ranks = F.broadcast(ranks)
-    file_name = F.regexp_replace("_metadata.file_path", _SCHEME, "/").alias("file_name")
-    placed = df.select(file_name, position.alias("position"), *wanted).join(
-        ranks, "file_name", "left"
+    ranks = file_ranks(df.sparkSession, files)
+    placed = df.select(_file_hash(), position.alias("position"), *wanted).join(
+        F.broadcast(ranks), "file_hash", "left"
     )
     rank = F.coalesce(
-        F.col("file_rank"), F.raise_error(F.concat(F.lit("file not listed: "), "file_name"))
+        F.col("file_rank"), F.raise_error(F.lit("a file of the scan is not in the list"))
     ).cast("bigint")
-    names = [c for c in placed.columns if c not in ("file_name", "position", "file_rank")]
+    names = [c for c in placed.columns if c not in ("file_hash", "position", "file_rank")]
     return placed.select(
         (F.shiftleft(rank, POSITION_BITS) + F.col("position")).alias("row_id"), *names
     )
+
+
+def staged_rows(df: DataFrame, *columns: str | Column, files: Sequence[str], target: str) -> DataFrame:
+    """A scan of text files, written once under `target`, with ids 0, 1, 2, ... in file order.
+
+    One pass writes each row with its file, the start of its block and its number
+    in the task; these three are unique and ascend within a file. Rows per block, a
+    table of one row per block of the scan, give every block its first id. No row
+    is moved, and reads of the staged table give the same ids however it is cut.
+    """
+    spark = df.sparkSession
+    ranks = F.broadcast(file_ranks(spark, sorted(files)))
+    start = F.col("_metadata.file_block_start").alias("block_start")
+    wanted = columns or tuple(df.columns)
+    numbered = df.select(
+        _file_hash(), start, F.monotonically_increasing_id().alias("in_task"), *wanted
+    )
+    rows = numbered.join(ranks, "file_hash").drop("file_hash")
+    rows.write.parquet(f"{target}/rows")
+    rows = spark.read.schema(rows.schema).parquet(f"{target}/rows")
+    block = ["file_rank", "block_start"]
+    blocks = rows.groupBy(*block).agg(F.count("*").alias("n"), F.min("in_task").alias("first"))
+    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    blocks.write.parquet(f"{target}/blocks")
+    blocks = spark.read.schema(blocks.schema).parquet(f"{target}/blocks")
+    names = [c for c in rows.columns if c not in (*block, "in_task")]
+    row_id = (F.col("base") + F.col("in_task") - F.col("first")).alias("row_id")
+    return rows.join(blocks, block).select(row_id, *names)

@@ -29,25 +29,25 @@ def keyed(df):
 
 
 def test_known_counts(pairs, edges):
-    assert pairs.count() == 99
+    assert pairs.count() == 100
     dpo = P.prepare_for_dpo(pairs)
     assert dpo.columns == ["row_id", "prompt", "chosen", "rejected"]
     stats = P.get_dataset_statistics(dpo)
-    assert stats["num_examples"] == 95
-    assert stats["prompt_length"] == {"mean": 1707.9473684210527, "min": 48, "max": 4811}
-    assert stats["chosen_length"] == {"mean": 1041.842105263158, "min": 100, "max": 1837}
-    assert stats["rejected_length"] == {"mean": 1051.1684210526316, "min": 100, "max": 1837}
+    assert stats["num_examples"] == 96
+    assert stats["prompt_length"] == {"mean": 1705.2708333333333, "min": 48, "max": 4811}
+    assert stats["chosen_length"] == {"mean": 1039.40625, "min": 100, "max": 1837}
+    assert stats["rejected_length"] == {"mean": 1048.6354166666667, "min": 100, "max": 1837}
     tokens = dpo.agg(F.sum(P.native_tokenizer().count(F.col("prompt"))))
-    assert tokens.first()[0] == 26627
+    assert tokens.first()[0] == 26864
     kept = P.prepare_for_dpo(edges).groupBy((F.col("row_id") % 8).alias("k")).count()
-    assert {r.k: r["count"] for r in kept.collect()} == {0: 13, 1: 13, 2: 13, 3: 11, 7: 12}
+    assert {r.k: r["count"] for r in kept.collect()} == {0: 13, 1: 13, 2: 13, 3: 12, 7: 12}
     tight = P.prepare_for_dpo(edges, P.native_tokenizer(), 300, 100)
     assert tight.count() == 11
 
 
 def test_sft_keeps_every_row_and_every_turn(spark, edges):
     sft = keyed(P.prepare_for_sft(edges))
-    assert len(sft) == 99
+    assert len(sft) == 100
     for row_id, row in sft.items():
         if row_id % 8 == 4:  # no markers
             assert (row.text, row.messages) == ("\n\nAssistant: ", [])
@@ -189,7 +189,7 @@ def test_chat_templates(spark):
 
 def test_statistics_follow_the_columns(spark, pairs):
     raw = P.get_dataset_statistics(pairs)
-    assert raw == {"num_examples": 99, "columns": ["chosen", "rejected"]}
+    assert raw == {"num_examples": 100, "columns": ["chosen", "rejected"]}
     both = spark.createDataFrame(
         [("ab", "c", "", "😀e")], "text string, prompt string, chosen string, rejected string"
     )
@@ -225,7 +225,7 @@ def test_observed_statistics(edges):
 @pytest.mark.parametrize("n", [0, 1, 3, 4, 50, 98, 99, 100, 5000])
 def test_first_rows(pairs, n, direct):
     got = sorted(r.row_id for r in P.first_rows(pairs, n, direct=direct).select("row_id").collect())
-    assert got == list(range(min(n, 99)))
+    assert got == list(range(min(n, 100)))
 
 
 @pytest.mark.parametrize("n", [1, 700, 30_000, 199_999])
@@ -359,3 +359,12 @@ def test_native_bound_holds(spark):
     rows = df.select(tok.count(F.col("t")).alias("n"), tok.most(F.col("t")).alias("most")).collect()
     assert [r.n for r in rows] == [2, 2, 3, 4, 4, 5, 4]
     assert all(r.n <= r.most for r in rows)
+
+
+@pytest.mark.parametrize("direct", [2, 1000])
+def test_repeated_keys_are_refused(spark, direct):
+    df = spark.createDataFrame([(k % 4,) for k in range(40)], "row_id bigint")
+    with pytest.raises(ValueError, match="not unique"):
+        P.first_rows(df, 5, direct=direct).collect()
+    with pytest.raises(ValueError, match="not unique"):
+        P.with_split(df, 0.3, direct=direct).collect()

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SF
+from pairloom.plans import catalog, oracle
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -15,7 +16,7 @@ TABLES = (
 
 TYPES = {"VARCHAR": "string", "BIGINT": "bigint", "DOUBLE": "double"}
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +29,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 def canonical(columns, rows):
@@ -54,4 +56,4 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["row_id", "prompt", "chosen", "rejected"]
-    assert df.count() == 12
+    assert df.count() == 13

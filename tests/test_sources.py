@@ -63,7 +63,7 @@ def test_load_subset_split_and_first_rows(spark, root):
         P.load_pairs(spark, root, "validation")
 
 
-def test_large_packed_files_are_spread(spark, tmp_path, monkeypatch):
+def test_packed_files_are_spread(spark, tmp_path):
     for i in range(12):
         write_lines(tmp_path / "s" / f"train-{i:02}.json.gz", [f"f{i}"] * (i + 1), gzip.open)
 
@@ -73,9 +73,10 @@ def test_large_packed_files_are_spread(spark, tmp_path, monkeypatch):
         assert names(df) == [f"f{i}" for i in range(12) for _ in range(i + 1)]
         return "REBALANCE" in df._jdf.queryExecution().executedPlan().toString()
 
-    assert not shuffled()
-    monkeypatch.setattr("pairloom.sources.pairs.PACKED_BYTES", 100)
     assert shuffled()
+    write_lines(tmp_path / "s" / "test-00.json", ["plain"])
+    plain = P.load_pairs(spark, str(tmp_path), "test")
+    assert "REBALANCE" not in plain._jdf.queryExecution().executedPlan().toString()
 
 
 def test_row_ids_of_cut_files(spark, tmp_path):
@@ -121,7 +122,7 @@ def test_json_round_trip(spark, tmp_path):
     assert text.columns == ["row_id", "text"]
     assert text.exceptAll(sft.select("row_id", "text")).count() == 0
     read = spark.read.schema(sft.schema).json(str(tmp_path / "new" / "sft"))
-    assert read.exceptAll(sft).count() == 0 and read.count() == 99
+    assert read.exceptAll(sft).count() == 0 and read.count() == 100
     with pytest.raises(Exception, match="already exists"):
         P.write_json(dpo, str(tmp_path / "new" / "dpo"))
 
@@ -140,15 +141,15 @@ def test_required_columns(spark, tmp_path):
     text = P.load_training_text(spark, str(tmp_path / "x.json"))
     assert [r.text for r in text.collect()] == ["p\n\nAssistant: c"]
     (tmp_path / "y.json").write_text('{"rejected": "r", "prompt": "p", "chosen": "c", "score": 2}\n')
-    full = P.load_preference_data(spark, str(tmp_path / "y.json"))
+    full = P.load_preference_data(spark, str(tmp_path / "y.json"), "all")
     assert full.columns == ["row_id", "prompt", "chosen", "rejected", "score"]
     assert tuple(full.first())[1:] == ("p", "c", "r", "2")
     # A field that only a late line has is found, or left out on request.
     line = '{"rejected": "r", "prompt": "p", "chosen": "c"}\n'
     (tmp_path / "z.json").write_text(line * 500 + line.replace("}", ', "late": "x"}'))
-    late = P.load_preference_data(spark, str(tmp_path / "z.json"))
+    late = P.load_preference_data(spark, str(tmp_path / "z.json"), "all")
     assert late.columns[-1] == "late" and late.where("late = 'x'").count() == 1
-    few = P.load_preference_data(spark, str(tmp_path / "z.json"), [])
+    few = P.load_preference_data(spark, str(tmp_path / "z.json"))
     assert few.columns == ["row_id", "prompt", "chosen", "rejected"] and few.count() == 501
     few.write.parquet(str(tmp_path / "p"))
     again = P.load_preference_data(spark, str(tmp_path / "p"), file_format="parquet")
@@ -159,6 +160,53 @@ def test_required_columns(spark, tmp_path):
     assert numbered.select("row_id").distinct().count() == 501
 
 
+def test_late_fields_and_nulls_of_prepared_tables(spark, tmp_path):
+    """Whether a field is there is judged over all lines, alike in both readers."""
+    bare, full = '{"rejected": "r"}\n', '{"rejected": "r", "prompt": "p", "chosen": "c"}\n'
+    (tmp_path / "late.json").write_text(bare * 100 + full * 50 + "not json\n")
+    for read in (P.load_training_text, P.load_preference_data):
+        with pytest.raises(Exception, match="null in a needed column"):
+            read(spark, str(tmp_path / "late.json")).collect()
+        assert read(spark, str(tmp_path / "late.json"), on_null="drop").count() == 50
+        with pytest.raises(ValueError, match="on_null"):
+            read(spark, str(tmp_path / "late.json"), on_null="keep")
+
+
+def test_row_ids_hold_when_the_scan_is_cut_anew(spark, tmp_path):
+    for i in range(3):
+        write_lines(tmp_path / "s" / f"train-{i}.json", [f"{i}-{k}" for k in range(2000)])
+    order = [f"{i}-{k}" for i in range(3) for k in range(2000)]
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.maxPartitionNum")}
+    try:
+        # Several blocks in each task.
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        spark.conf.set("spark.sql.files.maxPartitionNum", "3")
+        staged = P.ingest_pairs(spark, str(tmp_path), str(tmp_path / "staged"), "train")
+        first = P.load_pairs(spark, str(tmp_path), "train", max_samples=3500)
+        split = P.with_split(staged, 0.5)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+        spark.conf.unset("spark.sql.files.maxPartitionNum")
+        assert names(first) == order[:3500]
+        assert sorted(r.row_id for r in staged.collect()) == list(range(6000))
+        assert names(staged) == order
+        assert sorted(r["count"] for r in split.groupBy("split").count().collect()) == [3000, 3000]
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_files_are_ranked_without_moving_text(spark, tmp_path):
+    for i in range(40):
+        write_lines(tmp_path / "s" / f"train-{'x' * 90}{i:02}.json", [f"{i}"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = P.load_pairs(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
 def test_save_paths():
     assert P.save_paths("d/x.json", "both") == {"sft": "d/x.sft.json", "dpo": "d/x.dpo.json"}
     assert P.save_paths("s3://b/d.1/x", "both")["sft"] == "s3://b/d.1/x.sft.json"
