@@ -9,7 +9,8 @@ symbol longer and joins shards on (symbol before, interval), so after h rounds r
 share an interval if their first h symbols agree: common prefixes are known without
 sorting suffixes, and a row alone in its interval is done with. The order of the
 intervals is not needed and not kept. Intervals with company give the candidates;
-exact hashes of whole strings settle what is repeated to the byte.
+exact hashes settle what is repeated: first of all strings of an anchor at once,
+then, only where runs of one gram differ, of fewer, and at last of single strings.
 """
 
 from __future__ import annotations
@@ -26,12 +27,13 @@ from .tables import Scratch, mark_bytes, mark_table, with_mark
 from .words import mix, slices, text_bytes
 
 _ROUNDS = 3  # symbols that are compared before strings are
-_ROW = "r1 long, r2 long, nth long, gram long, gap long, first long, last long, depth long, span long"
+_ROW = "r1 long, r2 long, nth long, gram long, gap long, first long, last long, anchor long, depth long, span long"
+_GRAINS = (16, 1)  # places of the parts in which runs are looked at closer
 
 
 def grams_for(length: int) -> tuple[int, int]:
     """Bytes of a gram, and places of a window, for strings of this length."""
-    return max(4, length // 25), max(2, length // 3)
+    return max(4, length // 6), max(2, length // 3)
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -109,7 +111,7 @@ def _rows(length: int, repeated, bits: int) -> Callable:
                 bit = (print_ & np.uint64(bits - 1)).astype(np.int64)
                 hit = np.flatnonzero((marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
                 start = part[owner]
-                columns = [nth, print_.view(np.int64), gap, first - start, end - start, depth, span.view(np.int64)]
+                columns = [nth, print_.view(np.int64), gap, first - start, end - start, anchor - start, depth, span.view(np.int64)]
                 rows = pa.array(top + owner[hit])
                 yield pa.record_batch(
                     [batch.column("r1").take(rows), batch.column("r2").take(rows), *[pa.array(c[hit]) for c in columns]],
@@ -119,31 +121,56 @@ def _rows(length: int, repeated, bits: int) -> Callable:
     return run
 
 
-def _strings(length: int) -> Callable:
-    """Hashes of the strings that start in given runs: (key, r1, r2, place, times)."""
+def _parts(length: int, grain: int) -> Callable:
+    """Runs cut at fixed distances from their anchor, each part with the hash of its span."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(len(batch)):
-                data = np.frombuffer(batch.column("text")[k].as_py().encode(), np.uint8)
-                sums = _prefix_sums(data)
-                for run in batch.column("runs")[k].as_py():
-                    place = np.arange(run["first"], run["last"] + 1)
-                    key = mix(_hashes(sums, place, place + length) + np.uint64(run["gram"] & (2**64 - 1)))
-                    yield pa.record_batch(
-                        [
-                            pa.array(key.view(np.int64)),
-                            pa.array(np.full(len(place), batch.column("r1")[k].as_py())),
-                            pa.array(np.full(len(place), batch.column("r2")[k].as_py())),
-                            pa.array(place),
-                            pa.array(np.full(len(place), run["times"])),
-                        ],
-                        names=["key", "r1", "r2", "place", "times"],
-                    )
+            rows, columns = [], []
+            for k, (text, runs) in enumerate(zip(batch.column("text"), batch.column("runs"), strict=True)):
+                sums = _prefix_sums(np.frombuffer(text.as_buffer(), np.uint8))
+                runs = runs.as_py()
+                first, last, anchor, gram, copies = (
+                    np.array([r[c] for r in runs], np.int64) for c in ("first", "last", "anchor", "gram", "copies")
+                )
+                far, near = (anchor - first) // grain, (anchor - last) // grain
+                size = far - near + 1
+                ends = np.cumsum(size)
+                own = np.repeat(np.arange(len(runs)), size)
+                part = far[own] - (np.arange(ends[-1]) - (ends - size)[own])
+                begin = np.maximum(first[own], anchor[own] - part * grain - grain + 1)
+                end = np.minimum(last[own], anchor[own] - part * grain)
+                group = mix(gram.view(np.uint64)[own] + mix(part.astype(np.uint64)))
+                span = mix(_hashes(sums, begin, end + length) + (anchor[own] - begin).astype(np.uint64))
+                columns.append((group.view(np.int64), begin, end, anchor[own], span.view(np.int64), copies[own]))
+                rows.append(np.full(len(own), k))
+            if rows:
+                row = pa.array(np.concatenate(rows))
+                own = [pa.array(np.concatenate(c)) for c in zip(*columns, strict=True)]
+                yield pa.record_batch(
+                    [batch.column("r1").take(row), batch.column("r2").take(row), *own],
+                    names=["r1", "r2", "gram", "first", "last", "anchor", "span", "copies"],
+                )
 
     return run
 
 
+def _settled(found: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Runs whose whole span occurs again, and one of each kind where a gram has several.
+
+    Only grams with a run that has no equal, but other runs beside it, stay open.
+    """
+    whole = found.groupBy("gram", "span").agg(
+        F.sum("copies").alias("times"), F.min(F.struct("r1", "r2", "first", "last", "anchor")).alias("one")
+    )
+    whole = scratch.put(whole, "whole")
+    sure = found.join(whole.where("times > 1").select("gram", "span"), ["gram", "span"], "left_semi")
+    mixed = whole.groupBy("gram").agg(F.min("times").alias("least"), F.count("*").alias("kinds"))
+    mixed = mixed.where("least = 1 AND kinds > 1").select("gram")
+    ones = whole.join(mixed, "gram", "left_semi").select("gram", "one.*", F.least("times", F.lit(2)).alias("copies"))
+    return sure.select("r1", "r2", "first", "last"), ones
+
+
 def _removed(length: int) -> Callable:
     """Bytes left and spans removed, from the places where repeated strings start."""
 
@@ -194,30 +221,20 @@ def repeated_runs(base: DataFrame, scratch: Scratch, length: int) -> DataFrame:
             )
             interval = longer.select("r1", "r2", "nth", "copies", F.xxhash64("gram", "gap", "interval").alias("interval"))
     found = scratch.put(found, "found")
-    # Runs whose whole span occurs again need no closer look.
-    whole = found.groupBy("gram", "span").agg(
-        F.sum("copies").alias("times"), F.min(F.struct("r1", "r2", "first", "last")).alias("one")
-    )
-    whole = scratch.put(whole, "whole")
-    sure = found.join(whole.where("times > 1").select("gram", "span"), ["gram", "span"], "left_semi")
-    sure = sure.select("r1", "r2", "first", "last")
-    mixed = whole.groupBy("gram").agg(F.min("times").alias("least"), F.count("*").alias("kinds"))
-    mixed = mixed.where("least = 1 AND kinds > 1").select("gram")
-    ones = whole.join(mixed, "gram", "left_semi").select(
-        "gram", "one.r1", "one.r2", "one.first", "one.last", F.least("times", F.lit(2)).cast("long").alias("times")
-    )
-    per_text = ones.groupBy("r1", "r2").agg(
-        F.collect_list(F.struct("gram", "first", "last", "times")).alias("runs")
-    )
-    per_text = scratch.put(per_text, "open")
-    texts = with_mark(base, mark_table(per_text, "r1", hashed=False), F.col("r1")).where("__hit").drop("__hit")
-    strings = texts.dropDuplicates(["r1", "r2"]).join(per_text, ["r1", "r2"]).mapInArrow(
-        _strings(length), "key long, r1 long, r2 long, place long, times long"
-    )
-    strings = scratch.put(strings, "strings")
-    again = strings.groupBy("key").agg(F.sum("times").alias("t")).where("t > 1").select("key")
-    more = strings.where("times = 1").join(again, "key", "left_semi")
-    return sure.unionByName(more.select("r1", "r2", F.col("place").alias("first"), F.col("place").alias("last")))
+    sure, ones = _settled(found, scratch)
+    for grain in _GRAINS:
+        per_text = ones.groupBy("r1", "r2").agg(
+            F.collect_list(F.struct("gram", "first", "last", "anchor", "copies")).alias("runs")
+        )
+        per_text = scratch.put(per_text, "open")
+        texts = with_mark(base, mark_table(per_text, "r1", hashed=False), F.col("r1")).where("__hit").drop("__hit")
+        parts = texts.dropDuplicates(["r1", "r2"]).join(per_text, ["r1", "r2"]).mapInArrow(
+            _parts(length, grain),
+            "r1 long, r2 long, gram long, first long, last long, anchor long, span long, copies long",
+        )
+        more, ones = _settled(scratch.put(parts, "parts"), scratch)
+        sure = sure.unionByName(more)
+    return sure
 
 
 def remove_repeats(
