@@ -14,7 +14,7 @@ import pyarrow as pa
 
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _ODD = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
-_BYTES_AT_ONCE = 2 << 20  # texts worked on together; a longer text is worked on alone
+_BYTES_AT_ONCE = 1 << 19  # texts worked on together; a longer text is worked on alone
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
