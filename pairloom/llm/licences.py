@@ -1,11 +1,13 @@
 """Licence scan: a trained paragraph classifier, confirmed by template comparison.
 
-Every paragraph (line) is a set of word pairs and triples. A multinomial logistic
-regression with a lasso penalty, fitted on varied licence templates against plain
-text, gives weights to few of them; scoring joins the n-grams of all paragraphs
-with that short list and adds weights up, all in native columns. A family is
-reported only where its probability passes a threshold set on held-out plain text
-and where a template of the family is there in words, else the paragraph is unknown.
+A template is looked for in the words of a text, wherever its lines break: the word
+pairs of all texts meet the short list of those of the templates, and spans of words
+that are like a whole template are taken. Only a line without characters ends a span.
+A multinomial logistic regression with a lasso penalty, fitted on varied licence
+templates against plain text, gives weights to few word pairs and triples; the span
+and a few words on either side are scored with them, all in native columns. A family
+is reported only where its probability passes a threshold set on held-out plain text
+and where a template of the family is there in words, else the text is unknown.
 """
 
 from __future__ import annotations
@@ -14,12 +16,14 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .tables import Scratch
 
 UNKNOWN = "unknown"
+_CONFIRM = 0.6  # least likeness of a span and a template
+_AROUND = 3  # words on either side of a span that are scored with it
 
 # Notices by which public licences are usually named.
 TEMPLATES = [
@@ -67,10 +71,96 @@ def ngrams(text: Column) -> Column:
     return F.flatten(F.transform(F.array(words), lambda w: F.array_distinct(F.concat(runs(w, 2), runs(w, 3)))))
 
 
+def _words(text: Column) -> Column:
+    """(w, line) of the lower-cased ASCII words of a text; a blank line is an empty word."""
+
+    def of_line(line: Column, i: Column) -> Column:
+        words = F.filter(F.split(line, "[^a-z0-9]+", -1), lambda w: w != "")
+        blank = F.trim(F.translate(line, "\t\r", "  ")) == ""
+        return F.transform(F.when(blank, F.array(F.lit(""))).otherwise(words), lambda w: F.struct(w.alias("w"), i.alias("line")))
+
+    return F.flatten(F.transform(F.split(F.lower(F.coalesce(text, F.lit(""))), "\n", -1), of_line))
+
+
+def _templates(spark: SparkSession) -> DataFrame:
+    """(pair, thirds, family, template, size): the word pairs of every template, the words
+    that follow a pair there, and how many different pairs and triples the template has."""
+    made = spark.createDataFrame([(f, t) for f, t in TEMPLATES], "family string, template string")
+    grams = made.withColumn("size", F.size(ngrams(F.col("template")))).withColumn("words", _words(F.col("template"))["w"])
+    at = F.explode(F.sequence(F.lit(0), F.size("words") - 2)).alias("at")
+    pairs = grams.select("family", "template", "size", "words", at)
+    pair = F.concat_ws(" ", F.get("words", F.col("at")), F.get("words", F.col("at") + 1)).alias("pair")
+    return pairs.select(pair, F.get("words", F.col("at") + 2).alias("third"), "family", "template", "size").groupBy(
+        "pair", "family", "template", "size"
+    ).agg(F.collect_set("third").alias("thirds"))
+
+
+def template_matches(docs: DataFrame, templates: DataFrame, key: str, text: str, confirm: float = _CONFIRM) -> DataFrame:
+    """(key, row, family, likeness, first, last, paragraph, bottom, near) of spans like a template.
+
+    first and last are the places of the words, paragraph and bottom the lines that hold
+    them, near the span and _AROUND words on either side. The likeness is the number of
+    different pairs and triples that span and template share over the larger of their
+    numbers, so words that are missing count as well as words in between. Of spans of one
+    family that overlap the most alike is taken, then the first.
+    """
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(key), F.col(text)).alias("row"), F.col(text).alias("text"))
+
+    def pairs_of(words: Column) -> Column:
+        return F.transform(
+            words,
+            lambda x, i: F.struct(
+                F.concat_ws(" ", x["w"], F.get(words, i + 1)["w"]).alias("pair"), F.get(words, i + 2)["w"].alias("third"),
+                i.alias("at"), x["line"].alias("line"), F.get(words, i + 1)["line"].alias("line2"),
+            ),
+        )
+
+    # One evaluation of the words.
+    placed = F.explode(F.flatten(F.transform(F.array(_words(F.col("text"))), pairs_of))).alias("p")
+    hits = rows.select("key", "row", placed).select("key", "row", "p.*").join(F.broadcast(templates), "pair")
+    hit = F.struct("at", "pair", F.when(F.array_contains("thirds", F.col("third")), F.col("third")).alias("third"), "line2")
+    own = ["key", "row", "family", "template", "size"]
+    hits = hits.select(*own, "at", "line", hit.alias("hit")).distinct()
+    # A longer span is below the limit whatever it shares.
+    reach = max(2 * len(t.split()) for _, t in TEMPLATES)
+    ahead = Window.partitionBy(*own).orderBy("at").rangeBetween(0, int(reach / confirm) + 2)
+    spans = hits.withColumn("hits", F.collect_list("hit").over(ahead)).where(2 * F.size("hits") >= confirm * F.col("size"))
+
+    def until(hits: Column, last: Column, j: Column) -> Column:
+        some = F.slice(hits, F.lit(1), j + 1)
+        triples = F.filter(some, lambda h: h["third"].isNotNull() & (h["at"] < last["at"]))
+        shared = F.size(F.array_distinct(F.transform(some, lambda h: h["pair"]))) + F.size(
+            F.array_distinct(F.transform(triples, lambda h: F.concat_ws(" ", h["pair"], h["third"])))
+        )
+        grams = 2 * (last["at"] - F.col("at")) + 1
+        return F.struct(
+            (shared / F.greatest("size", grams)).alias("likeness"), (-last["at"] - 1).alias("end"), last["line2"].alias("bottom")
+        )
+
+    best = F.array_max(F.transform("hits", lambda h, j: until(F.col("hits"), h, j)))
+    spans = spans.select("key", "row", "family", "at", "line", best.alias("best")).where(F.col("best.likeness") >= confirm)
+    span = F.struct("best.likeness", (-F.col("at")).alias("start"), (-F.col("best.end")).alias("last"))
+    spans = spans.groupBy("key", "row", "family", "at", "line").agg(F.max(F.struct(span.alias("span"), "best.bottom")).alias("b"))
+    spans = spans.select("key", "row", "family", "at", "line", "b.span", "b.bottom")
+    beside = Window.partitionBy("key", "row", "family").orderBy("at").rangeBetween(-int(reach / confirm) - 2, int(reach / confirm) + 2)
+    better = F.exists(
+        F.collect_list("span").over(beside),
+        lambda s: (s > F.col("span")) & (-s["start"] <= F.col("span.last")) & (s["last"] >= F.col("at")),
+    )
+    spans = spans.withColumn("lost", better).where("NOT lost").select(
+        F.col("key").alias("key2"), F.col("row").alias("row2"), "family", "span.likeness",
+        F.col("at").alias("first"), "span.last", F.col("line").alias("paragraph"), "bottom",
+    )
+    start = F.greatest(F.col("first") - _AROUND, F.lit(0))
+    near = F.slice(_words(F.col("text"))["w"], start + 1, F.col("last") + _AROUND + 1 - start)
+    whole = rows.dropDuplicates(["key", "row"]).join(spans, (F.col("row") == F.col("row2")) & F.col("key").eqNullSafe(F.col("key2")))
+    return whole.select("key", "row", "family", "likeness", "first", "last", "paragraph", "bottom", F.array_join(near, " ").alias("near"))
+
+
 @dataclass
 class LicenceModel:
     """grams: (gram, weights by class); classes: unknown first; bases: intercepts;
-    threshold: least probability of a family; templates: (family, template, size, gram)."""
+    threshold: least probability of a family; templates: see _templates."""
 
     grams: DataFrame
     classes: list[str]
@@ -141,49 +231,34 @@ def fit_licences(docs: DataFrame, text: str = "text", most: int = 400, variants:
     best = F.array_max(F.slice(vector_to_array("probability"), 2, len(classes) - 1))
     plain = model.transform(rows.where("held AND label = 0")).agg(F.percentile_approx(best, 0.999, 10_000).alias("p"))
     threshold = min(0.9, max(0.5, (plain.first()["p"] or 0.0) + 0.05))
-    return LicenceModel(table, classes, model.interceptVector.toArray().tolist(), threshold, parts)
+    return LicenceModel(table, classes, model.interceptVector.toArray().tolist(), threshold, scratch.put(_templates(spark), "pairs"))
 
 
 def scan_licences(
-    docs: DataFrame, model: LicenceModel, key: str = "doc_id", text: str = "text", confirm: float = 0.6
+    docs: DataFrame, model: LicenceModel, key: str = "doc_id", text: str = "text", confirm: float = _CONFIRM
 ) -> DataFrame:
-    """(key, paragraph, family, probability, likeness) of paragraphs that name a licence.
+    """(key, paragraph, family, probability, likeness) of notices of a licence.
 
-    paragraph counts the lines of the text from 0. likeness is the largest share of
-    the n-grams of a template of the family that the paragraph holds; below `confirm`
-    the prediction is not taken. Rows equal in key and text give one set of findings;
-    a null or empty text gives none. The short tables of weights and of template
-    n-grams are as long as the vocabulary of the templates, whatever the input.
+    paragraph is the line in which the notice begins, counted from 0. likeness is that of
+    the notice and a template of the family, see template_matches; below `confirm` the
+    prediction is not taken. Rows equal in key and text give one set of findings; a null
+    or empty text gives none. The short tables of weights and of template pairs are as
+    long as the vocabulary of the templates, whatever the input.
     """
-    lines = docs.select(
-        F.col(key).alias("key"), F.xxhash64(F.col(key), F.col(text)).alias("row"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("paragraph", "line")
-    )
-    grams = lines.select("key", "row", "paragraph", F.explode(ngrams(F.col("line"))).alias("gram"))
-    hits = grams.join(F.broadcast(model.grams), "gram").distinct()
-    own = ["key", "row", "paragraph"]
+    spans = template_matches(docs, model.templates, key, text, confirm)
+    own = ["key", "row", "family", "likeness", "first", "paragraph"]
+    grams = spans.select(*own, F.explode(ngrams(F.col("near"))).alias("gram"))
+    hits = grams.join(F.broadcast(model.grams), "gram")
     sums = [F.sum(F.element_at("weights", k + 1)).alias(f"s{k}") for k in range(len(model.classes))]
-    scores = hits.groupBy(*own).agg(*sums, F.collect_set("gram").alias("grams"))
+    scores = hits.groupBy(*own).agg(*sums)
     total = F.array(*[F.col(f"s{k}") + b for k, b in enumerate(model.bases)])
     odds = F.transform(total, lambda s: F.exp(s - F.array_max(total)))
     share = F.array_max(odds) / F.aggregate(odds, F.lit(0.0), lambda a, x: a + x)
     place = F.array_position(total, F.array_max(total)).cast("int")
-    best = scores.select(
-        *own, "grams", F.element_at(F.array(*[F.lit(c) for c in model.classes]), place).alias("family"), share.alias("probability")
-    ).where((F.col("family") != UNKNOWN) & (F.col("probability") >= model.threshold))
-    # All template n-grams of the predicted family, also those without a weight.
-    wide = lines.join(best.drop("grams"), own).withColumn("gram", F.explode(ngrams(F.col("line"))))
-    like = (
-        wide.select(*own, "family", "probability", "gram")
-        .distinct()
-        .join(F.broadcast(model.templates), ["family", "gram"])
-        .groupBy(*own, "family", "probability", "template")
-        .agg((F.count("*") / F.first("size")).alias("likeness"))
-        .groupBy(*own, "family", "probability")
-        .agg(F.max("likeness").alias("likeness"))
-    )
-    return like.where(F.col("likeness") >= confirm).select(
-        F.col("key").alias(key), F.col("row").alias("__row"), "paragraph", "family", "probability", "likeness"
-    )
+    best = scores.select(*own, F.element_at(F.array(*[F.lit(c) for c in model.classes]), place).alias("best"), share.alias("probability"))
+    sure = best.where((F.col("family") == F.col("best")) & (F.col("probability") >= model.threshold))
+    found = sure.groupBy("key", "row", "paragraph", "family").agg(F.max("probability").alias("probability"), F.max("likeness").alias("likeness"))
+    return found.select(F.col("key").alias(key), F.col("row").alias("__row"), "paragraph", "family", "probability", "likeness")
 
 
 def document_licences(docs: DataFrame, model: LicenceModel, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -191,7 +266,7 @@ def document_licences(docs: DataFrame, model: LicenceModel, key: str = "doc_id",
     paragraph (the first of that sureness) and probability, both null for unknown."""
     found = scan_licences(docs, model, key, text)
     sure = F.struct(F.round("probability", 6).alias("p"), (-F.col("paragraph")).alias("at"), "family", "probability")
-    per_row = found.groupBy(F.col(key).alias("__key"), "__row").agg(F.max(sure).alias("best"), F.count("*").alias("n"))
+    per_row = found.groupBy(F.col(key).alias("__key"), "__row").agg(F.max(sure).alias("best"), F.count_distinct("paragraph").alias("n"))
     rows = docs.select(F.col(key), F.xxhash64(F.col(key), F.col(text)).alias("__own"))
     return rows.join(per_row, (F.col("__own") == F.col("__row")) & F.col(key).eqNullSafe(F.col("__key")), "left").select(
         key,

@@ -1,8 +1,10 @@
 """Licence scan: known notices in plain documents, and what must stay unknown."""
 
+import textwrap
+
 import pytest
 
-from pairloom.llm.licences import document_licences, fit_licences, scan_licences
+from pairloom.llm.licences import TEMPLATES, document_licences, fit_licences, scan_licences
 
 SF = "/root/testdata/sf0.01"
 NOTICES = {
@@ -48,3 +50,20 @@ def test_odd_rows(spark, model):
     assert [h[:3] for h in have if h[0] == 4] == [(4, "MIT", 2)] * 2
     assert scan_licences(docs.where("false"), model).collect() == []
     assert document_licences(docs.where("false"), model).collect() == []
+
+
+def test_wrapped_notices(spark, model):
+    rows, want = [], {}
+    for n, (family, notice) in enumerate(TEMPLATES):
+        for width in (40, 60, 72, 80):
+            for lead, mark in (("", ""), ("Copyright by the authors. ", " * ")):
+                lines = textwrap.wrap(lead + notice, width)
+                body = "\n".join(mark + line for line in lines)
+                rows.append((f"{n} {width} {mark}", f"The ferry left.\n\n{body}\n\nIt came back."))
+                want[rows[-1][0]] = family
+    got = document_licences(spark.createDataFrame(rows, "doc_id string, text string"), model).collect()
+    assert {r.doc_id: r.family for r in got} == want
+    assert {r.n_paragraphs for r in got} == {1}
+    cut = "Redistribution and use in source and binary forms, with or without\n\nmodification, are"
+    got = document_licences(spark.createDataFrame([("a", cut)], "doc_id string, text string"), model).first()
+    assert got.family == "unknown"
