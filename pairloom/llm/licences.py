@@ -13,6 +13,8 @@ and where a template of the family is there in words, else the text is unknown.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -42,6 +44,47 @@ TEMPLATES = [
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
+# What a notice of each family must name, in lower-cased words; one of these.
+NAMES = {
+    "Apache-2.0": ["apache (software )?licen[cs]e (version |v )?2 0"],
+    "BSD-3-Clause": ["bsd 3 clause", "redistribution and use in source and binary forms .*modification"],
+    "CC-BY-4.0": ["cc by 4 0", "creative commons attribution (international |public |licen[cs]e |version |v )*4 0"],
+    "CC-BY-NC-4.0": ["cc by nc 4 0", "attribution non( )?commercial (international |public |licen[cs]e |version |v )*4 0"],
+    "CC0-1.0": ["cc0", "waived all copyright"],
+    "GPL-3.0": ["gnu general public licen[cs]e (version |v( )?)3", "gnu general public licen[cs]e .*version 3"],
+    "MIT": ["mit (x11 |expat |software |open source )?licen[cs]e", "any person obtaining a copy"],
+    "MPL-2.0": ["mozilla public licen[cs]e (version |v )?2 0"],
+}
+#: Notices like the templates of licences that have none; to be unknown.
+SIBLINGS = [
+    "Licensed under the Apache License, Version 1.1.",
+    "Licensed under the Apache Software License, Version 1.0; you may not use this file except in compliance with the License.",
+    "Distributed under the BSD 2-Clause License.",
+    "Distributed under the BSD 4-Clause License.",
+    "Licensed under CC BY-SA 4.0.",
+    "Licensed under CC BY-ND 4.0.",
+    "Licensed under CC BY 3.0.",
+    "Licensed under CC BY-NC-SA 4.0.",
+    "Licensed under CC BY-NC-ND 4.0.",
+    "Licensed under CC BY-NC 3.0.",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "This work is licensed under a Creative Commons Attribution 3.0 Unported License.",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "This work is licensed under the GNU General Public License, version 2.",
+    "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "This work is licensed under the GNU Affero General Public License, version 3.",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License.",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License.",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License.",
+    "Released under the MIT-0 License.",
+    "Released under the ISC License.",
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation",
+    "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.",
+    "This Source Code Form is subject to the terms of the Eclipse Public License, v. 2.0.",
+]
 #: Plain sentences that speak of licences without naming one.
 PLAIN = [
     "A driver must carry a licence and the papers of the car at all times.",
@@ -101,10 +144,15 @@ def template_matches(docs: DataFrame, templates: DataFrame, key: str, text: str,
     first and last are the places of the words, paragraph and bottom the lines that hold
     them, near the span and _AROUND words on either side. The likeness is the number of
     different pairs and triples that span and template share over the larger of their
-    numbers, so words that are missing count as well as words in between. Of spans of one
-    family that overlap the most alike is taken, then the first.
+    numbers, so words that are missing count as well as words in between. A span and the
+    words beside it must give the name of the family, see NAMES: a licence that differs in
+    a word or a number is no notice of it. Of spans of one family that overlap the most
+    alike is taken, then the first.
     """
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(key), F.col(text)).alias("row"), F.col(text).alias("text"))
+    # A text without any name has no notice and need not be cut into words.
+    named = "|".join(name.replace(" ", "[^a-z0-9]+") for names in NAMES.values() for name in names)
+    rows = rows.where(F.lower("text").rlike(f"(?s){named}"))
 
     def pairs_of(words: Column) -> Column:
         return F.transform(
@@ -154,7 +202,9 @@ def template_matches(docs: DataFrame, templates: DataFrame, key: str, text: str,
     start = F.greatest(F.col("first") - _AROUND, F.lit(0))
     near = F.slice(_words(F.col("text"))["w"], start + 1, F.col("last") + _AROUND + 1 - start)
     whole = rows.dropDuplicates(["key", "row"]).join(spans, (F.col("row") == F.col("row2")) & F.col("key").eqNullSafe(F.col("key2")))
-    return whole.select("key", "row", "family", "likeness", "first", "last", "paragraph", "bottom", F.array_join(near, " ").alias("near"))
+    whole = whole.select("key", "row", "family", "likeness", "first", "last", "paragraph", "bottom", F.array_join(near, " ").alias("near"))
+    named = [(F.col("family") == f) & F.col("near").rlike(r"\b(" + "|".join(names) + r")\b") for f, names in NAMES.items()]
+    return whole.where(reduce(or_, named))
 
 
 @dataclass
@@ -187,32 +237,41 @@ def _examples(spark: SparkSession, plain: DataFrame, variants: int) -> DataFrame
         .select("label", F.when(F.col("nth") % 4 == 0, F.col("text")).otherwise(dropped).alias("text"), "nth", "around")
         .select("label", F.when(F.col("nth") % 2 == 0, F.concat_ws(" ", "text", F.substring("around", 1, 300))).otherwise(F.col("text")).alias("text"), "nth")
     )
-    hard = spark.createDataFrame([(t,) for t in PLAIN], "text string").withColumn("nth", F.explode(F.sequence(F.lit(0), F.lit(variants - 1))))
+    hard = spark.createDataFrame([(t,) for t in PLAIN + SIBLINGS], "text string").withColumn("nth", F.explode(F.sequence(F.lit(0), F.lit(variants - 1))))
+    hard = hard.join(around, "nth", "left").select(
+        F.when(F.col("nth") % 2 == 0, F.concat_ws(" ", "text", F.substring("around", 1, 300))).otherwise(F.col("text")).alias("text"), "nth"
+    )
     others = plain.select("text", "nth").unionByName(hard).select(F.lit(UNKNOWN).alias("label"), "text", "nth")
     return varied.unionByName(others).select("label", "text", (F.col("nth") % 5 == 4).alias("held"))
 
 
+def plain_lines(texts: DataFrame, templates: DataFrame) -> DataFrame:
+    """(text) of the different lines of texts (t) that hold no part of a notice."""
+    notices = template_matches(texts, templates, "t", "t").select(
+        F.col("key").alias("t"), F.explode(F.sequence("paragraph", "bottom")).alias("nth")
+    )
+    lines = texts.select("t", F.posexplode(F.split("t", "\n", -1)).alias("nth", "text")).join(notices, ["t", "nth"], "left_anti")
+    return lines.where("length(text) > 0").select("text").distinct()
+
+
 def fit_licences(docs: DataFrame, text: str = "text", most: int = 400, variants: int = 40) -> LicenceModel:
     """Fit on the templates and on plain paragraphs of at most `most` documents.
 
-    The documents are those of the smallest hash of their text. Their paragraphs count
-    as plain unless they share a word triple with a template. The candidates for
-    weights are the n-grams of the templates and of the sentences in PLAIN.
+    The documents are those of the smallest hash of their text. Their lines are plain,
+    also those that share words with a template, unless a notice is found in them. So
+    are PLAIN and SIBLINGS, in training as for the threshold. The candidates for weights
+    are the n-grams of the templates and of these sentences.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    templates = spark.createDataFrame([(f, t) for f, t in TEMPLATES], "family string, template string")
-    grams = templates.withColumn("grams", ngrams(F.col("template")))
-    parts = grams.select("family", "template", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
-    parts = scratch.put(parts, "templates")
-    named = [r["gram"] for r in parts.where(F.size(F.split("gram", " ")) == 3).select("gram").distinct().collect()]
+    pairs = scratch.put(_templates(spark), "pairs")
     some = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("t")).orderBy(F.xxhash64("t"), "t").limit(most)
-    lines = some.select(F.explode(F.split("t", "\n", -1)).alias("text")).where("length(text) > 0").distinct()
-    lines = lines.where(~F.arrays_overlap(ngrams(F.col("text")), F.array(*[F.lit(g) for g in named])))
+    some = scratch.put(some.distinct(), "some")
+    lines = plain_lines(some, pairs)
     examples = _examples(spark, scratch.put(lines.limit(4000), "plain"), variants)
     # Written, so that n-grams are made once and not once for each word of the vocabulary.
     examples = scratch.put(examples.withColumn("grams", ngrams(F.col("text"))), "examples")
-    hard = spark.createDataFrame([(t,) for t in PLAIN], "text string").select(F.explode(ngrams(F.col("text"))).alias("gram"))
-    vocabulary = sorted({r["gram"] for r in parts.select("gram").unionByName(hard).distinct().collect()})
+    known = spark.createDataFrame([(t,) for t in [t for _, t in TEMPLATES] + PLAIN + SIBLINGS], "text string")
+    vocabulary = sorted({r["gram"] for r in known.select(F.explode(ngrams(F.col("text"))).alias("gram")).distinct().collect()})
     classes = [UNKNOWN, *sorted({f for f, _ in TEMPLATES})]
     has = F.transform(F.array(*[F.lit(g) for g in vocabulary]), lambda g: F.array_contains(F.col("grams"), g).cast("double"))
     label = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("label")) - 1
@@ -231,7 +290,7 @@ def fit_licences(docs: DataFrame, text: str = "text", most: int = 400, variants:
     best = F.array_max(F.slice(vector_to_array("probability"), 2, len(classes) - 1))
     plain = model.transform(rows.where("held AND label = 0")).agg(F.percentile_approx(best, 0.999, 10_000).alias("p"))
     threshold = min(0.9, max(0.5, (plain.first()["p"] or 0.0) + 0.05))
-    return LicenceModel(table, classes, model.interceptVector.toArray().tolist(), threshold, scratch.put(_templates(spark), "pairs"))
+    return LicenceModel(table, classes, model.interceptVector.toArray().tolist(), threshold, pairs)
 
 
 def scan_licences(

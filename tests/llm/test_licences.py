@@ -3,8 +3,9 @@
 import textwrap
 
 import pytest
+from pyspark.sql import functions as F
 
-from pairloom.llm.licences import TEMPLATES, document_licences, fit_licences, scan_licences
+from pairloom.llm.licences import SIBLINGS, TEMPLATES, _templates, document_licences, fit_licences, plain_lines, scan_licences
 
 SF = "/root/testdata/sf0.01"
 NOTICES = {
@@ -67,3 +68,26 @@ def test_wrapped_notices(spark, model):
     cut = "Redistribution and use in source and binary forms, with or without\n\nmodification, are"
     got = document_licences(spark.createDataFrame([("a", cut)], "doc_id string, text string"), model).first()
     assert got.family == "unknown"
+
+
+def test_sibling_licences(spark, model):
+    other = SIBLINGS + [
+        "Licensed under the Apache License, Version 1.0.",
+        "Licensed under CC BY 2.5.",
+        "You may copy it under the GNU Lesser General Public License, version 3.",
+        "This work is licensed under the GNU General Public License, version 1.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.",
+    ]
+    rows = [(f"{n} {width}", textwrap.fill(t, width)) for n, t in enumerate(other) for width in (60, 400)]
+    got = document_licences(spark.createDataFrame(rows, "doc_id string, text string"), model).collect()
+    assert {(r.doc_id, r.family) for r in got} == {(n, "unknown") for n, _ in rows}
+    both = "Licensed under the Apache License, Version 2.0. Released under the MIT License."
+    found = scan_licences(spark.createDataFrame([("a", both)], "doc_id string, text string"), model).collect()
+    assert {r.family for r in found} == {"Apache-2.0", "MIT"}
+
+
+def test_lines_near_a_template_are_kept(spark):
+    near = "The museum was licensed under the MIT board of the time."
+    docs = spark.createDataFrame([(1, near), (2, "Released under the MIT License.")], "doc_id long, text string")
+    lines = plain_lines(docs.select(F.col("text").alias("t")), _templates(spark))
+    assert [r.text for r in lines.collect()] == [near]
