@@ -245,20 +245,24 @@ def _examples(spark: SparkSession, plain: DataFrame, variants: int) -> DataFrame
     return varied.unionByName(others).select("label", "text", (F.col("nth") % 5 == 4).alias("held"))
 
 
-def plain_lines(texts: DataFrame, templates: DataFrame) -> DataFrame:
-    """(text) of the different lines of texts (t) that hold no part of a notice."""
+def plain_lines(texts: DataFrame, templates: DataFrame, most: int = 4000) -> DataFrame:
+    """(text) of the different lines of texts (t) that hold no part of a notice.
+
+    Of more than `most` lines those of the smallest hash are taken.
+    """
     notices = template_matches(texts, templates, "t", "t").select(
         F.col("key").alias("t"), F.explode(F.sequence("paragraph", "bottom")).alias("nth")
     )
     lines = texts.select("t", F.posexplode(F.split("t", "\n", -1)).alias("nth", "text")).join(notices, ["t", "nth"], "left_anti")
-    return lines.where("length(text) > 0").select("text").distinct()
+    lines = lines.where("length(text) > 0").select("text").distinct()
+    return lines.orderBy(F.xxhash64("text"), "text").limit(most)
 
 
-def fit_licences(docs: DataFrame, text: str = "text", most: int = 400, variants: int = 40) -> LicenceModel:
-    """Fit on the templates and on plain paragraphs of at most `most` documents.
+def fit_licences(docs: DataFrame, text: str = "text", most: int = 400, variants: int = 40, most_lines: int = 4000) -> LicenceModel:
+    """Fit on the templates and on at most `most_lines` plain lines of `most` documents.
 
-    The documents are those of the smallest hash of their text. Their lines are plain,
-    also those that share words with a template, unless a notice is found in them. So
+    The documents are those of the smallest hash of their text, and so are the lines.
+    Their lines are plain, also those that share words with a template, unless a notice is found in them. So
     are PLAIN and SIBLINGS, in training as for the threshold. The candidates for weights
     are the n-grams of the templates and of these sentences.
     """
@@ -266,8 +270,8 @@ def fit_licences(docs: DataFrame, text: str = "text", most: int = 400, variants:
     pairs = scratch.put(_templates(spark), "pairs")
     some = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("t")).orderBy(F.xxhash64("t"), "t").limit(most)
     some = scratch.put(some.distinct(), "some")
-    lines = plain_lines(some, pairs)
-    examples = _examples(spark, scratch.put(lines.limit(4000), "plain"), variants)
+    lines = plain_lines(some, pairs, most_lines)
+    examples = _examples(spark, scratch.put(lines, "plain"), variants)
     # Written, so that n-grams are made once and not once for each word of the vocabulary.
     examples = scratch.put(examples.withColumn("grams", ngrams(F.col("text"))), "examples")
     known = spark.createDataFrame([(t,) for t in [t for _, t in TEMPLATES] + PLAIN + SIBLINGS], "text string")

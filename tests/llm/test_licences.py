@@ -91,3 +91,17 @@ def test_lines_near_a_template_are_kept(spark):
     docs = spark.createDataFrame([(1, near), (2, "Released under the MIT License.")], "doc_id long, text string")
     lines = plain_lines(docs.select(F.col("text").alias("t")), _templates(spark))
     assert [r.text for r in lines.collect()] == [near]
+
+
+def test_same_plain_lines_in_any_order(spark):
+    texts = ["\n".join(f"line {n} of the report" for n in range(k, 60, 7)) for k in range(7)]
+    docs = spark.createDataFrame([(t,) for t in texts], "t string")
+    templates = _templates(spark).cache()
+    taken = [
+        {r.text for r in plain_lines(docs.repartition(parts).orderBy(order), templates, 10).collect()}
+        for parts, order in ((1, F.asc("t")), (5, F.desc("t")))
+    ]
+    assert len(taken[0]) == 10 and taken[0] == taken[1]
+    lines = [line for t in texts for line in t.split("\n")]
+    by_hash = spark.createDataFrame([(t,) for t in lines], "text string").orderBy(F.xxhash64("text")).limit(10)
+    assert taken[0] == {r.text for r in by_hash.collect()}
