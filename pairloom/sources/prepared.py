@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.text import MESSAGES_TYPE
 from pairloom.operators.prepare import sft_text_from_pairs
-from pairloom.sources.rows import with_row_id
+from pairloom.session import scratch_dir
+from pairloom.sources.rows import staged_rows, with_row_id
 
 # The columns each reader needs.
 DPO_COLUMNS = ("prompt", "chosen", "rejected")
@@ -50,6 +51,9 @@ def read_prepared(
 ) -> DataFrame:
     """A prepared table with `row_id`.
 
+    Text files without `row_id` are staged in the scratch folder, so that their ids hold
+    over several reads; parquet rows are numbered by their place in the file.
+
     `extra` names further columns to keep; "all" keeps all: for JSON this takes a
     pass over the lines to learn their fields, which then come as text (`messages`
     as messages). A required column without any value is missing, which is an error
@@ -77,8 +81,10 @@ def read_prepared(
         df = spark.read.format(file_format).load(path)
     if numbered:
         df = df.select("row_id", *columns)
-    else:
+    elif file_format == "parquet" or not (files := df.inputFiles()):
         df = with_row_id(df, *columns, columnar=file_format == "parquet")
+    else:
+        df = staged_rows(df, *columns, files=files, target=scratch_dir(spark))
     absent = reduce(or_, [F.col(c).isNull() for c in required])
     if on_null == "drop":
         return df.where(~absent)

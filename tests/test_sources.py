@@ -252,3 +252,18 @@ def test_long_conversation_is_joined_in_order(spark):
     expected = [i for i in range(2000) if i % 3 == 0 or i == 7]
     label = ("Human", "Assistant")
     assert whole == "".join(f"\n\n{label[i % 2]}: t{i}" for i in expected)
+
+
+def test_prepared_json_ids_hold_when_the_cut_changes(spark, tmp_path):
+    lines = [json.dumps({"prompt": f"p{n}", "chosen": "c" * 50, "rejected": "r"}) for n in range(400)]
+    (tmp_path / "prepared.json").write_text("\n".join(lines))
+    table = P.load_preference_data(spark, str(tmp_path / "prepared.json"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    sides = P.create_train_val_split(table)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+        rows = {side: [(r.row_id, r.prompt) for r in t.collect()] for side, t in sides.items()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows["validation"]) == 20
+    assert sorted(rows["train"] + rows["validation"]) == [(n, f"p{n}") for n in range(400)]
