@@ -14,6 +14,7 @@ from .licences import document_licences, fit_licences
 from .lines import dedup_lines
 from .mixing import MIX_SQL, mix_sources
 from .packing import pack_documents
+from .phrases import PHRASE_SQL, collocations, count_phrases
 from .quality import graded
 from .substrings import remove_repeats
 from .tokens import tokenizer_file
@@ -107,6 +108,11 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_vectors(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 phrases of each language whose parts belong together most."""
+    return collocations(count_phrases(_table(spark, sf_dir, "documents").select("lang", "text"), least=30))
+
+
 def rated_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling weights of the labelled documents: good ones 2, others a half."""
     labels = _table(spark, sf_dir, "labels").where("quality IS NOT NULL")
@@ -128,4 +134,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return {"op2_url_filters": URL_SQL, "op9_source_mixing": MIX_SQL} | pipeline
+    own = {
+        "op2_url_filters": URL_SQL,
+        "op9_source_mixing": MIX_SQL,
+        "op11_phrase_collocations": PHRASE_SQL,
+    }
+    return own | pipeline
