@@ -24,7 +24,7 @@ _LOWER[0x41:0x5B] += 32
 @dataclass
 class Chunk:
     """Part of the joined texts of a column: bytes from `at` on, A-Z lower-cased, and the
-    first byte, the end and the 64-bit hash of every word in it."""
+    first byte, the end and, if asked for, the 64-bit hash of every word in it."""
 
     at: int
     data: np.ndarray
@@ -65,7 +65,9 @@ def _cut(data: np.ndarray, offsets: np.ndarray, first: int, apart: np.ndarray) -
     return stop
 
 
-def word_chunks(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray) -> Iterator[Chunk]:
+def word_chunks(
+    data: np.ndarray, offsets: np.ndarray, apart: np.ndarray, hashed: bool = True
+) -> Iterator[Chunk]:
     """Words of joined texts (see `words.text_bytes`) in order, chunk by chunk.
 
     apart: of each byte value, whether it separates words; texts separate them too.
@@ -84,7 +86,9 @@ def word_chunks(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray) -> Ite
         closed = np.ones(n, bool)
         closed[: n - 1] = ~inside[1:] | fresh[1:n]
         ends = np.flatnonzero(inside & closed) + 1
-        if n > 2 * _CHUNK:  # one word
+        if not hashed:
+            hashes = np.zeros(0, np.uint64)
+        elif n > 2 * _CHUNK:  # one word
             digest = [hashlib.blake2b(own[a:b].tobytes(), digest_size=8).digest() for a, b in zip(starts, ends, strict=True)]
             hashes = np.frombuffer(b"".join(digest), np.uint64)
         else:

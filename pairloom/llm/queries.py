@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from .jaccard import similar_documents
+from .lexical import SEARCH_SQL, search
 from .licences import document_licences, fit_licences
 from .lines import dedup_lines
 from .mixing import MIX_SQL, mix_sources
@@ -113,6 +114,13 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(count_phrases(_table(spark, sf_dir, "documents").select("lang", "text"), least=30))
 
 
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents of highest score for each benchmark item."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    items = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text")
+    return search(docs, items).withColumnsRenamed({"item": "item_id", "id": "doc_id"})
+
+
 def rated_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling weights of the labelled documents: good ones 2, others a half."""
     labels = _table(spark, sf_dir, "labels").where("quality IS NOT NULL")
@@ -138,5 +146,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_url_filters": URL_SQL,
         "op9_source_mixing": MIX_SQL,
         "op11_phrase_collocations": PHRASE_SQL,
+        "op12_ranked_lexical_search": SEARCH_SQL,
     }
     return own | pipeline

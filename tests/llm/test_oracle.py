@@ -11,14 +11,14 @@ SF = "/root/testdata/sf0.01"
 
 def test_all_operators_and_the_pipeline_are_registered():
     names = {name.split("_")[0] for name in queries.queries()}
-    assert names == {f"op{n}" for n in range(1, 12)} | {"pipeline"}
+    assert names == {f"op{n}" for n in range(1, 13)} | {"pipeline"}
     assert set(queries.queries()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "labels", "pages"):
+    for table in ("documents", "labels", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.execute(queries.oracle_sql()[name])
     columns = [c[0] for c in want.description]

@@ -83,7 +83,7 @@ def test_against_brute_force(spark, group):
 
 def test_sums_handed_on_early_and_small_chunks(monkeypatch):
     monkeypatch.setattr(cuts, "_CHUNK", 64)
-    monkeypatch.setattr(phrases, "_KEPT", 40)
+    monkeypatch.setattr(phrases, "_KEPT", 5)
     rows = texts(5, 60)
     langs = pa.array([lang or "und" for _, lang in rows])
     table = pa.table({"lang": langs, "text": [t for t, _ in rows]})
