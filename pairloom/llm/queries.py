@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from .jaccard import similar_documents
+from .langid import fit_languages
 from .lexical import SEARCH_SQL, search
 from .licences import document_licences, fit_licences
 from .lines import dedup_lines
@@ -121,6 +122,15 @@ def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(docs, items).withColumnsRenamed({"item": "item_id", "id": "doc_id"})
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those outside the held-out third."""
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", fold.alias("fold"))
+    model = fit_languages(docs.where("fold <> 1").select(F.col("doc_id").alias("id"), "text", "lang"))
+    held = docs.select("doc_id", F.coalesce(F.col("fold") == 1, F.lit(False)).alias("held_out"), "text")
+    return model.predict(held, keep=["doc_id", "held_out"])
+
+
 def rated_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling weights of the labelled documents: good ones 2, others a half."""
     labels = _table(spark, sf_dir, "labels").where("quality IS NOT NULL")

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_all_operators_and_the_pipeline_are_registered():
     names = {name.split("_")[0] for name in queries.queries()}
-    assert names == {f"op{n}" for n in range(1, 13)} | {"pipeline"}
+    assert names == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
     assert set(queries.queries()) <= set(contract.queries())
 
 
