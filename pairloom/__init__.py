@@ -17,7 +17,7 @@ from pairloom.operators.statistics import (
     get_dataset_statistics,
     observe_statistics,
 )
-from pairloom.sources.pairs import ingest_pairs, load_pairs, stream_pairs
+from pairloom.sources.pairs import ingest_pairs, load_pairs, open_pairs, stream_pairs
 from pairloom.sources.prepared import load_preference_data, load_training_text
 from pairloom.sources.writers import save_paths, write_json
 from pairloom.streaming.prepare import start_preparation
@@ -40,6 +40,7 @@ __all__ = [
     "load_training_text",
     "native_tokenizer",
     "observe_statistics",
+    "open_pairs",
     "parse_conversation",
     "prepare_for_dpo",
     "prepare_for_sft",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.operators import selection
+from pairloom.sources.rows import settled
 
 
 def _up_to(df: DataFrame, n: int, key: str, direct: int) -> Column:
@@ -33,8 +34,10 @@ def first_rows(
     """The `min(n, size)` rows of smallest `key`, or as many of each split.
 
     `key` must be unique (within a split). The result is a plain filter on
-    `key`: rows are not moved, and a columnar scan skips what is beyond it.
+    `key`: rows are not moved, and a columnar scan skips what is beyond it. Ids that a
+    text scan numbers at each read are written once with their rows first.
     """
+    df = settled(df, key)
     if splits is None:
         return df.where(_up_to(df, n, key, direct))
     kept = F.lit(False)

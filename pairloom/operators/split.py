@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.operators import selection
+from pairloom.sources.rows import settled
 
 TRAIN, VALIDATION = "train", "validation"
 
@@ -43,8 +44,10 @@ def with_split(
     on partitioning or file layout. Only a table of keys is read to find the
     border; the rows are labelled by a comparison and are never moved. `df` is
     evaluated once for its keys and once for the result, so split a written
-    table where preparation is dear.
+    table where preparation is dear. Ids that a text scan numbers at each read are
+    written once with their rows, and that table is split.
     """
+    df = settled(df, key)
     order = _shuffled_key(key, seed)
     keys = selection.written_keys(df.select(order.alias("k")))
     border = selection.nth_smallest(keys, _held_out(keys.count(), val_size), direct)

@@ -160,6 +160,11 @@ SELECT row_id, chosen, rejected,
        CASE WHEN chosen < rejected THEN 'test' ELSE 'train' END AS split
 FROM pairs"""
 
+# Rows of the raw files, numbered in file order.
+_INGESTED = f"""
+SELECT row_number() OVER (ORDER BY subset, split, row_id) - 1 AS row_id, chosen, rejected, subset, split
+FROM ({_PLACED})"""
+
 
 def oracle_sql() -> dict[str, str]:
     dpo = "SELECT row_id, prompt, chosen, rejected FROM dpo"
@@ -186,6 +191,10 @@ def oracle_sql() -> dict[str, str]:
             f"{loaded} WHERE subset = 'short' AND split = 'train' ORDER BY row_id LIMIT 12",
             parsed=False,
         ),
+        "ingest_pairs": _with(_INGESTED, parsed=False),
+        "split_loaded": f"""WITH {_PAIRS}, files AS ({_INGESTED}), {_parsed("files")}
+SELECT row_id, prompt, chosen, rejected, CASE WHEN rn <= ceil(n * 0.05) THEN 'validation' ELSE 'train' END AS split
+FROM (SELECT *, count(*) OVER () AS n, row_number() OVER (ORDER BY md5('42:' || row_id), row_id) AS rn FROM dpo)""",
         "pair_count": _with("SELECT count(*) AS pairs FROM pairs", parsed=False),
         "json_roundtrip": _with(dpo, "edges"),
         "json_roundtrip_sft": _with(sft, "edges"),

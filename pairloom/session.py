@@ -44,3 +44,9 @@ def scratch_dir(spark: SparkSession) -> str:
             "set spark.checkpoint.dir to a folder that the driver and all executors share"
         )
     return tempfile.mkdtemp(prefix="pairloom-")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder this package wrote between jobs, once nothing reads it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

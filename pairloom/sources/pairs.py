@@ -7,9 +7,11 @@ Layout: `<root>/<subset>/<split>*`, where the last part is a JSON-lines file
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,11 @@ from pairloom.session import scratch_dir
 from pairloom.sources.rows import staged_rows, with_row_id
 
 PAIR_SCHEMA = "chosen string, rejected string"
+STAGED_SCHEMA = "row_id bigint, chosen string, rejected string, subset string, split string"
+# The file that makes a staged table complete, beside the folder of its rows.
+MANIFEST, VERSION = "manifest", 1
+MANIFEST_COLUMNS = ("version", "table", "rows", "files", "bytes", "source")
+MANIFEST_SCHEMA = "version int, table string, rows bigint, files bigint, bytes bigint, source string"
 # The split names of the pair files.
 SPLITS = ("train", "test")
 
@@ -115,6 +122,40 @@ def load_pairs(
     return first_rows(pairs, max_samples, splits=SPLITS if split is None else None)
 
 
+def _source_mark(spark: SparkSession, pattern: str) -> dict[str, int | str]:
+    """Names, sizes and times of the files, as one number; reads no content."""
+    found = spark.read.format("binaryFile").load(pattern)
+    each = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    row = found.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.sum(each).alias("mark")).first()
+    return {"files": row["files"], "bytes": row["bytes"] or 0, "source": str(row["mark"])}
+
+
+def _manifest(spark: SparkSession, target: str) -> dict[str, int | str] | None:
+    """What was staged under `target`, or None if nothing was completed there."""
+    try:
+        rows = spark.read.schema(MANIFEST_SCHEMA).json(f"{target}/{MANIFEST}").collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    if len(rows) != 1:
+        raise ValueError(f"the manifest of {target} has {len(rows)} rows")
+    if rows[0]["version"] != VERSION:
+        raise ValueError(f"{target} has layout {rows[0]['version']}; this package reads {VERSION}")
+    return rows[0].asDict()
+
+
+def open_pairs(spark: SparkSession, target: str) -> DataFrame:
+    """`row_id, chosen, rejected, subset, split` of the table staged under `target`.
+
+    A plain columnar scan: ids are stored in the rows, in any session they are the same.
+    """
+    manifest = _manifest(spark, target)
+    if manifest is None:
+        raise ValueError(f"no complete table under {target}; run ingest_pairs first")
+    return spark.read.schema(STAGED_SCHEMA).parquet(f"{target}/{manifest['table']}/rows")
+
+
 def ingest_pairs(
     spark: SparkSession,
     root: str,
@@ -124,16 +165,31 @@ def ingest_pairs(
     *,
     file_format: str = "json",
 ) -> DataFrame:
-    """The pairs of text files, staged as parquet under `target`, with lasting `row_id`.
+    """The pairs of files, staged as parquet under `target`, with lasting `row_id`.
 
-    Ids are 0, 1, 2, ... in file order. Work that looks at the ids twice, as the first
-    n rows and the split do, starts from this table.
+    Ids are 0, 1, 2, ... in file order and stored in the rows. The rows go to a new
+    folder, and a manifest of one row, written last, makes them the table: a run that
+    broke off leaves nothing that `open_pairs` would read, and can be repeated. A run on
+    a target that holds the table of the same files, by name, size and time, opens it;
+    one of other files is refused.
     """
-    scan = spark.read.schema(PAIR_SCHEMA).format(file_format).load(_pattern(root, subset, split))
+    pattern = _pattern(root, subset, split)
+    scan = spark.read.schema(PAIR_SCHEMA).format(file_format).load(pattern)
     files = sorted(scan.inputFiles())
     if not files:
         raise ValueError(f"no files under {root}")
-    return staged_rows(scan, "chosen", "rejected", *_place(), files=files, target=target)
+    source = _source_mark(spark, pattern)
+    before = _manifest(spark, target)
+    if before is not None:
+        if any(before[name] != value for name, value in source.items()):
+            raise ValueError(f"{target} holds the table of other files")
+        return open_pairs(spark, target)
+    table = f"table-{uuid.uuid4().hex}"
+    rows = staged_rows(scan, "chosen", "rejected", *_place(), files=files, target=f"{target}/{table}")
+    manifest = {"version": VERSION, "table": table, "rows": rows.count(), **source}
+    entry = spark.createDataFrame([tuple(manifest[n] for n in MANIFEST_COLUMNS)], MANIFEST_SCHEMA)
+    entry.coalesce(1).write.mode("errorifexists").json(f"{target}/{MANIFEST}")
+    return open_pairs(spark, target)
 
 
 def stream_pairs(

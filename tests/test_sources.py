@@ -8,6 +8,8 @@ import pairloom as P
 from conftest import SF
 from pairloom.plans.fixtures import conversations_from_turns, edge_pairs, stored_pairs
 from pairloom.plans.job import PrepareConfig, lines, parse_args, run_prepare
+from pairloom.sources import pairs as pairs_module
+from pairloom.sources import rows
 from pairloom.sources.prepared import require_columns
 
 
@@ -267,3 +269,79 @@ def test_prepared_json_ids_hold_when_the_cut_changes(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert len(rows["validation"]) == 20
     assert sorted(rows["train"] + rows["validation"]) == [(n, f"p{n}") for n in range(400)]
+
+
+def with_conf(spark, values, action):
+    """The result of an action under other settings."""
+    old = {k: spark.conf.get(k, None) for k in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        return action()
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_split_and_first_rows_of_loaded_text_are_exact(spark, tmp_path):
+    """Ids of a plain text load move with the cut; the border must not."""
+    for i in range(2):
+        write_lines(tmp_path / "s" / f"train-{i}.json", [f"{i}-{k}" for k in range(10_000)])
+    small = {"spark.sql.files.maxPartitionBytes": "30000"}
+    split = with_conf(spark, small, lambda: P.with_split(P.load_pairs(spark, str(tmp_path)), 0.5))
+    assert sorted(r["count"] for r in split.groupBy("split").count().collect()) == [10_000, 10_000]
+    pairs = P.load_pairs(spark, str(tmp_path))
+    sides = with_conf(spark, small, lambda: P.create_train_val_split(P.prepare_for_dpo(pairs), 0.25))
+    rows = {side: {r.chosen for r in t.collect()} for side, t in sides.items()}
+    assert len(rows["validation"]) == 5000 and len(rows["train"]) == 15_000
+    assert not rows["validation"] & rows["train"]
+    first = with_conf(spark, small, lambda: P.first_rows(pairs, 12_345))
+    assert names(first) == [f"{i}-{k}" for i in range(2) for k in range(10_000)][:12_345]
+
+
+@pytest.fixture
+def few_blocks(monkeypatch):
+    """At most four blocks looked up at once, so that staging takes many rounds."""
+    monkeypatch.setattr(rows, "BLOCKS", 4)
+
+
+def test_ingest_in_rounds_opens_in_a_new_session(spark, tmp_path, few_blocks):
+    write_lines(tmp_path / "in" / "s b" / "train-x.json.gz", [f"z{k}" for k in range(500)], gzip.open)
+    for i in range(12):
+        write_lines(tmp_path / "in" / "s" / f"train-{i:02}.json", [f"{i}-{k}" for k in range(400)])
+    target = str(tmp_path / "staged")
+    cut = {"spark.sql.files.maxPartitionBytes": "9000", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    with_conf(spark, cut, lambda: P.ingest_pairs(spark, str(tmp_path / "in"), target))
+    table = P.open_pairs(spark.newSession(), target)
+    want = [f"z{k}" for k in range(500)] + [f"{i}-{k}" for i in range(12) for k in range(400)]
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    got = table.orderBy("row_id").collect()
+    assert [r.row_id for r in got] == list(range(len(want)))
+    assert {(r.subset, r.split) for r in got} == {("s", "train"), ("s b", "train")}
+    # File order is that of the full names, in which a blank is written %20.
+    assert names(table) == want
+
+
+def test_ingest_is_repeatable_and_refuses_other_files(spark, tmp_path, monkeypatch):
+    write_lines(tmp_path / "in" / "s" / "train.json", ["a", "b"])
+    root, target = str(tmp_path / "in"), str(tmp_path / "staged")
+    with pytest.raises(ValueError, match="no complete table"):
+        P.open_pairs(spark, target)
+    # Broken off before the manifest: nothing is open, and a second run succeeds.
+    monkeypatch.setattr(pairs_module, "MANIFEST_COLUMNS", ("gone",))
+    with pytest.raises(KeyError):
+        P.ingest_pairs(spark, root, target)
+    monkeypatch.undo()
+    with pytest.raises(ValueError, match="no complete table"):
+        P.open_pairs(spark, target)
+    assert names(P.ingest_pairs(spark, root, target)) == ["a", "b"]
+    files = sorted(str(p) for p in (tmp_path / "staged").rglob("*"))
+    assert names(P.ingest_pairs(spark, root, target)) == ["a", "b"]
+    assert sorted(str(p) for p in (tmp_path / "staged").rglob("*")) == files
+    write_lines(tmp_path / "in" / "s" / "test.json", ["c"])
+    with pytest.raises(ValueError, match="other files"):
+        P.ingest_pairs(spark, root, target)
+    assert names(P.open_pairs(spark, target)) == ["a", "b"]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        P.ingest_pairs(spark, str(tmp_path / "none"), target)
