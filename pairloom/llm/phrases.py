@@ -32,7 +32,7 @@ LONGEST = 4  # words of a phrase
 GROUP = 1 << 20  # suffixes of a group
 _HEAVY = 1 << 18  # most prefixes that may be extended: with more suffixes groups grow instead
 _MARKS = 1 << 28  # most bits of a filter; at 16 bits an entry it then lets more rare ones pass
-_KEPT = 1 << 20  # rows that a worker adds up before it hands them on
+_KEPT = 1 << 19  # rows that a worker adds up before it hands them on
 
 # Bytes that end a piece, and those that separate words within it.
 _ENDS = np.zeros(256, bool)
