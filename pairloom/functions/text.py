@@ -89,24 +89,36 @@ def reconstruct_conversation(messages: Column) -> Column:
     return F.array_join(F.transform(messages, line), BLANK_LINE)
 
 
-def format_messages(messages: Column) -> Column:
-    """Messages to (prompt, response), split at the last assistant message."""
+def _at_last_reply(messages: Column, body: Callable[[Column, Column], Column]) -> Column:
+    """`body(m, p)`: messages, and the place of the last reply from the end, or 0."""
 
     def cut(m: Column) -> Column:
-        from_end = F.array_position(F.reverse(F.transform(m, lambda x: x["role"])), "assistant").cast("int")
-        return let(
-            from_end,
-            lambda p: F.struct(
-                reconstruct_conversation(
-                    F.slice(m, F.lit(1), F.when(p == 0, F.size(m)).otherwise(F.size(m) - p))
-                ).alias("prompt"),
-                F.when(p == 0, F.lit("")).otherwise(F.get(m, F.size(m) - p)["content"]).alias("response"),
-            ),
-        )
+        roles = F.transform(m, lambda x: x["role"])
+        return let(F.array_position(F.reverse(roles), "assistant").cast("int"), lambda p: body(m, p))
 
     return let(messages, cut)
 
 
+def _before(m: Column, p: Column) -> Column:
+    return F.slice(m, F.lit(1), F.when(p == 0, F.size(m)).otherwise(F.size(m) - p))
+
+
+def prompt_messages(messages: Column) -> Column:
+    """The messages before the last reply, or all where there is none."""
+    return _at_last_reply(messages, _before)
+
+
+def format_messages(messages: Column) -> Column:
+    """Messages to (prompt, response), split at the last assistant message."""
+
+    def cut(m: Column, p: Column) -> Column:
+        response = F.when(p == 0, F.lit("")).otherwise(F.get(m, F.size(m) - p)["content"])
+        prompt = reconstruct_conversation(_before(m, p))
+        return F.struct(prompt.alias("prompt"), response.alias("response"))
+
+    return _at_last_reply(messages, cut)
+
+
 # The table-level operators need no messages to find the last reply. Every turn
 # break before an assistant turn is the literal "\n\nAssistant:", so the last
 # such literal ends the prompt; plain substring search is enough.
@@ -143,6 +155,12 @@ def _context_in(opened: Column, tail: Column) -> Column:
     return F.array_join(F.transform(_marked_turns(head), line), BLANK_LINE)
 
 
+def has_turns(text: Column) -> Column:
+    """Whether a text has any marked turn, so that parsing it gives a message."""
+    opened = F.concat(F.lit(BLANK_LINE), F.ltrim(text, F.lit(WHITESPACE)))
+    return let(opened, lambda o: F.contains(o, F.lit(_QUESTION)) | F.contains(o, F.lit(_REPLY)))
+
+
 def last_response(text: Column) -> Column:
     """Content of the last assistant message, or the empty string."""
     return _around_last_reply(text, _reply_in)

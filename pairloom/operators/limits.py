@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pairloom.operators import selection
 from pairloom.sources.rows import settled
 
+# Raw rows tried first when looking for the first few prepared rows.
+PREVIEW_START = 1_000
+
 
 def _up_to(df: DataFrame, n: int, key: str, direct: int) -> Column:
     if n < 0:
@@ -45,3 +48,32 @@ def first_rows(
         of_split = F.col("split") == name
         kept |= of_split & _up_to(df.where(of_split), n, key, direct)
     return df.where(kept)
+
+
+def first_prepared(
+    first: Callable[[int], DataFrame],
+    prepare: Callable[[DataFrame], DataFrame],
+    n: int,
+    *,
+    key: str = "row_id",
+    most: int | None = None,
+    start: int = PREVIEW_START,
+) -> DataFrame:
+    """The first n prepared rows, looking at ever longer starts of the raw table.
+
+    `first(k)` gives the first k raw rows, as `first_rows` does. Preparation works row by
+    row, so the first n rows of a prepared start are the first n of the whole unless
+    the start yields fewer; then one a thousand times as long is tried. Only raw keys
+    are ranked, so no row beyond the start is parsed. n is for looking at: the rows come to
+    the driver. `most` limits the raw table.
+    """
+    size = max(n, start)
+    while True:
+        if most is not None:
+            size = min(size, most)
+        raw = first(size)
+        rows = prepare(raw).orderBy(key).limit(n)
+        found = rows.collect() if n > 0 else []
+        if len(found) >= n or size == most or raw.count() < size:
+            return rows.sparkSession.createDataFrame(found, rows.schema)
+        size *= 1_000

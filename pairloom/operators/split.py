@@ -69,3 +69,21 @@ def create_train_val_split(
     return {
         name: labelled.where(F.col("split") == name).drop("split") for name in (TRAIN, VALIDATION)
     }
+
+
+def with_hash_split(
+    df: DataFrame, val_size: float = 0.05, seed: int = 42, *, key: str = "row_id"
+) -> DataFrame:
+    """Add `split` by a threshold on a seeded hash of `key`, row by row.
+
+    About `val_size` of all keys go to validation. A row's side depends on its key and
+    the seed alone: rows that are added later move none, and streams can be split. Equal
+    keys share a side; a null key is for training.
+    """
+    if not 0 < val_size < 1:
+        raise ValueError(f"val_size must lie between 0 and 1, not {val_size}")
+    # The first eight digits of the hash, as a number below 2 ** 32, in text order.
+    border = f"{math.floor(val_size * 2**32):08x}"
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    held_out = F.substring(digest, 1, 8) < F.lit(border)
+    return df.withColumn("split", F.when(held_out, F.lit(VALIDATION)).otherwise(F.lit(TRAIN)))

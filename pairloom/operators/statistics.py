@@ -6,13 +6,13 @@ task however large the table is.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from pairloom.operators.prepare import KEY_COLUMNS
+from pairloom.operators.prepare import BOTH_TYPES, FORMATS, KEY_COLUMNS
 
 
 def measured_columns(df: DataFrame) -> list[str]:
@@ -33,9 +33,12 @@ def data_columns(df: DataFrame) -> list[str]:
 
 
 def _metrics(df: DataFrame) -> list[Column]:
-    rows = F.count(F.lit(1))
+    return _measures(measured_columns(df), F.count(F.lit(1)))
+
+
+def _measures(names: Sequence[str], rows: Column) -> list[Column]:
     metrics = [rows.alias("num_examples")]
-    for name in measured_columns(df):
+    for name in names:
         size = F.length(name).cast("bigint")
         metrics += [
             # Exact bigint sum, one division at the end; NULL on an empty table.
@@ -57,6 +60,19 @@ def observe_statistics(df: DataFrame, name: str) -> tuple[DataFrame, Observation
     return df.observe(observation, *_metrics(df)), observation
 
 
+def observe_formats(both: DataFrame) -> tuple[DataFrame, dict[str, Observation]]:
+    """The same numbers for each format of `prepare_both`, while one action reads it.
+
+    The columns of a format are null in rows of the other, so they are not measured there.
+    """
+    found = {}
+    for kind, columns in FORMATS.items():
+        found[kind] = Observation()
+        names = [c for c in columns if BOTH_TYPES[c] == "string"]
+        both = both.observe(found[kind], *_measures(names, F.count(names[0])))
+    return both, found
+
+
 def as_report(df: DataFrame, row: Mapping[str, Any]) -> dict[str, Any]:
     """The nested form: counts, columns and `{mean, min, max}` per text column."""
     report: dict[str, Any] = {"num_examples": row["num_examples"], "columns": data_columns(df)}

@@ -11,16 +11,19 @@ from pairloom.functions import text as T
 from pairloom.functions.binding import bind_columns
 from pairloom.functions.preview import excerpt
 from pairloom.functions.tokens import native_tokenizer, python_tokenizer
-from pairloom.operators.limits import first_rows
+from pairloom.operators.funnel import Funnel
+from pairloom.operators.limits import first_prepared, first_rows
+from pairloom.operators.mismatch import prompt_mismatch
 from pairloom.operators.prepare import prepare_for_dpo, prepare_for_sft, sft_text_from_pairs
-from pairloom.operators.split import with_split
+from pairloom.operators.split import VALIDATION, with_hash_split, with_split
 from pairloom.operators.statistics import dataset_statistics
 from pairloom.plans.fixtures import edge_pairs, stored_pairs
-from pairloom.plans.job import RAW_SIZE, sampled, shown
+from pairloom.plans.job import RAW_SIZE, PrepareConfig, PrepareReport, run_prepare, sampled, shown
 from pairloom.session import scratch_dir
 from pairloom.sources.pairs import SPLITS, ingest_pairs, load_pairs, open_pairs, stream_pairs
 from pairloom.sources.prepared import load_preference_data, load_training_text
-from pairloom.sources.writers import write_json
+from pairloom.sources.writers import read_keyed, write_json, write_keyed
+from pairloom.streaming.job import job_output, start_job
 from pairloom.streaming.prepare import start_preparation
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,6 +188,73 @@ def _streamed(kind: str, schema_of: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+_reports: dict[tuple[str, str], PrepareReport] = {}
+
+
+def _job(spark: SparkSession, sf: str) -> PrepareReport:
+    """The whole job over the raw training files, run once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _reports:
+        target = f"{scratch_dir(spark)}/train.json"
+        _reports[key] = run_prepare(spark, PrepareConfig(_pair_files(spark, sf), save_path=target))
+    return _reports[key]
+
+
+def _saved(kind: str, schema: str) -> Query:
+    return lambda spark, sf: spark.read.schema(schema).json(_job(spark, sf).saved[kind])
+
+
+def _job_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """The statistics of the report, a row per format and measured column."""
+    rows = []
+    for kind, report in _job(spark, sf).statistics.items():
+        for name, value in report.items():
+            if name.endswith("_length"):
+                of = (kind, name.removesuffix("_length"), report["num_examples"])
+                rows.append((*of, value["mean"], value["min"], value["max"]))
+    schema = "format string, column string, num_examples bigint, mean double, min bigint, max bigint"
+    return spark.createDataFrame(rows, schema)
+
+
+def _job_streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Both tables of a streamed job, in batches of three files."""
+    root = scratch_dir(spark)
+    pairs = stream_pairs(spark, _pair_files(spark, sf), files_per_trigger=3)
+    start_job(pairs, f"{root}/out", f"{root}/checkpoint", keep=[]).awaitTermination()
+    sft, dpo = [job_output(spark, f"{root}/out", kind) for kind in ("sft", "dpo")]
+    none = F.lit(None).cast("string")
+    sft = _flat(sft).withColumns({c: none for c in dpo.columns})
+    dpo = dpo.withColumns({"text": none, "messages": none})
+    return sft.withColumn("format", F.lit("sft")).unionByName(dpo.withColumn("format", F.lit("dpo")))
+
+
+def _funnel(spark: SparkSession, sf: str) -> DataFrame:
+    """What becomes of the rows while the table is written."""
+    funnel = Funnel()
+    prepared = prepare_for_dpo(edges(spark, sf), NATIVE, MAX_LENGTH, MAX_PROMPT_LENGTH, funnel=funnel)
+    write_json(prepared, f"{scratch_dir(spark)}/dpo.json")
+    counts = funnel.get
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
+
+
+def _split_saved(spark: SparkSession, sf: str) -> DataFrame:
+    """The validation side, after both sides were written in one pass."""
+    path = f"{scratch_dir(spark)}/sides"
+    write_keyed(with_split(prepare_for_dpo(stored_pairs(spark, sf))), path, "split")
+    schema = "row_id bigint, prompt string, chosen string, rejected string"
+    return read_keyed(spark, path, "split", VALIDATION, schema)
+
+
+def _preview(source: Query, prepare: Callable[[DataFrame], DataFrame], n: int) -> Query:
+    """The first n prepared rows, parsing only a start of the raw table."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        pairs = source(spark, sf)
+        return first_prepared(lambda size: first_rows(pairs, size), prepare, n)
+
+    return run
+
+
 def _written(prepare: Callable[[DataFrame], DataFrame], source: Query, read) -> Query:
     """Prepare, save as JSON, and read back."""
 
@@ -279,12 +349,21 @@ def queries() -> dict[str, Query]:
             ordered_first(1),
             lambda df: df.select("row_id", excerpt(F.col("chosen"), RAW_SIZE).alias("chosen")),
         ),
-        "preview_sft": _over(edges, sft(), ordered_first(3), lambda df: shown(df, "sft")),
-        "preview_dpo": _over(edges, dpo(), ordered_first(3), lambda df: shown(df, "dpo")),
-        "preview_trainer_dpo": _over(plain, dpo(), ordered_first(1), sampled),
+        "preview_sft": _preview(edges, lambda df: shown(prepare_for_sft(df), "sft"), 3),
+        "preview_dpo": _preview(edges, lambda df: shown(prepare_for_dpo(df), "dpo"), 3),
+        "preview_trainer_dpo": _preview(plain, lambda df: sampled(prepare_for_dpo(df)), 1),
         "split_exact": _over(plain, dpo(), lambda df: with_split(df).select("row_id", "split")),
         "split_counts": _over(
             plain, dpo(), _split_counts
         ),
+        "split_hash": _over(plain, dpo(), lambda df: with_hash_split(df).select("row_id", "split")),
+        "split_saved": _split_saved,
+        # Reports and the job
+        "prompt_mismatch": _over(edges, prompt_mismatch),
+        "funnel": _funnel,
+        "job_sft": _over(_saved("sft", f"text string, messages {T.MESSAGES_TYPE}"), _flat),
+        "job_dpo": _saved("dpo", "prompt string, chosen string, rejected string"),
+        "job_stats": _job_statistics,
+        "job_stream": _job_streamed,
         "entry": _over(plain, dpo()),
     }

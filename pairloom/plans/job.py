@@ -3,14 +3,13 @@
     spark-submit --py-files pairloom.zip pairloom/plans/job.py \\
         --input <root> --format both --save_path <folder>/train.json
 
-Each output is one narrow Spark job: its statistics are collected while it is
-written, so the parse runs once per output and nothing is cached.
+One narrow Spark job: both outputs come from one read and one parse of the pairs, and
+statistics are collected while they are written, so nothing is cached.
 """
 
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -19,10 +18,11 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.preview import excerpt, shorten
 from pairloom.functions.tokens import Tokenizer
-from pairloom.operators.prepare import prepare_for_dpo, prepare_for_sft
-from pairloom.operators.statistics import as_report, observe_statistics
+from pairloom.operators.limits import first_prepared
+from pairloom.operators.prepare import only, prepare_both
+from pairloom.operators.statistics import as_report, observe_formats, observe_statistics
 from pairloom.sources.pairs import SPLITS, load_pairs
-from pairloom.sources.writers import save_paths, write_json
+from pairloom.sources.writers import save_paths, write_formats, write_json
 from pairloom.streaming.prepare import PREPARE
 
 # How many characters of each column are shown.
@@ -30,9 +30,6 @@ RAW_SIZE = 500
 TEXT_SIZES = {"sft": {"text": 500}, "dpo": {"prompt": 300, "chosen": 200, "rejected": 200}}
 SAMPLE_SIZES = {"prompt": 100, "chosen": 50, "rejected": 50}
 
-# Raw rows tried first when looking for the first few prepared rows.
-_PREVIEW_START = 1_000
-
 
 @dataclass(frozen=True)
 class PrepareConfig:
@@ -73,30 +70,6 @@ def sampled(prepared: DataFrame) -> DataFrame:
     return prepared.select("row_id", *cut)
 
 
-def examples(
-    load: Callable[[int], DataFrame],
-    prepare: Callable[[DataFrame], DataFrame],
-    kind: str,
-    n: int,
-    max_samples: int | None = None,
-) -> list[Row]:
-    """The first n prepared rows, looking at ever longer starts of the table.
-
-    Preparation works row by row, so the first n rows of a prepared start are
-    the first n of the whole, unless the start yields fewer.
-    """
-    size = max(n, _PREVIEW_START)
-    while n > 0:
-        if max_samples is not None:
-            size = min(size, max_samples)
-        start = load(size)
-        rows = shown(prepare(start), kind).orderBy("row_id").limit(n).collect()
-        if len(rows) == n or size == max_samples or start.count() < size:
-            return rows
-        size *= 1_000
-    return []
-
-
 def run_prepare(spark: SparkSession, config: PrepareConfig) -> PrepareReport:
     if config.format not in (*PREPARE, "both"):
         raise ValueError(f"format must be sft, dpo or both, not {config.format!r}")
@@ -112,31 +85,42 @@ def run_prepare(spark: SparkSession, config: PrepareConfig) -> PrepareReport:
             file_format=config.file_format,
         ).drop("subset", "split")
 
-    pairs = load(config.max_samples)
+    def prepare(df: DataFrame, kind: str) -> DataFrame:
+        return PREPARE[kind](df, config.tokenizer)
+
+    columns = ["chosen"] if config.format == "sft" else ["chosen", "rejected"]
+    read = Observation()
+    pairs = load(config.max_samples).select("row_id", *columns)
+    pairs = pairs.observe(read, F.count(F.lit(1)).alias("rows"))
     if config.max_samples != 0:
         raw = load(1).select(excerpt(F.col("chosen"), RAW_SIZE)).first()
         report.raw_sample = raw[0] if raw else None
     paths = save_paths(config.save_path, config.format) if config.save_path else {}
-    for kind in config.outputs:
-        columns = ["chosen"] if kind == "sft" else ["chosen", "rejected"]
-        read = Observation()
-        counted = pairs.select("row_id", *columns).observe(read, F.count(F.lit(1)).alias("rows"))
-
-        def prepare(df: DataFrame, kind: str = kind) -> DataFrame:
-            operator = prepare_for_sft if kind == "sft" else prepare_for_dpo
-            return operator(df, config.tokenizer)
-
-        prepared, statistics = observe_statistics(prepare(counted), kind)
-        if kind in paths:
-            write_json(prepared, paths[kind], keep_row_id=config.keep_row_id)
-            report.saved[kind] = paths[kind]
+    if config.format == "both":
+        both, statistics = observe_formats(prepare_both(pairs, config.tokenizer))
+        prepared = {kind: only(both, kind) for kind in config.outputs}
+        if paths:
+            write_formats(both, paths, keep_row_id=config.keep_row_id)
+        else:
+            both.write.format("noop").mode("overwrite").save()
+    else:
+        kind = config.format
+        table, observed = observe_statistics(prepare(pairs, kind), kind)
+        prepared, statistics = {kind: table}, {kind: observed}
+        if paths:
+            write_json(table, paths[kind], keep_row_id=config.keep_row_id)
         else:
-            prepared.write.format("noop").mode("overwrite").save()
-        report.loaded = read.get["rows"]
-        report.statistics[kind] = as_report(prepared, statistics.get)
-        report.examples[kind] = examples(
-            load, prepare, kind, config.show_examples, config.max_samples
+            table.write.format("noop").mode("overwrite").save()
+    report.loaded, report.saved = read.get["rows"], dict(paths)
+    for kind in config.outputs:
+        report.statistics[kind] = as_report(prepared[kind], statistics[kind].get)
+        rows = first_prepared(
+            load,
+            lambda df, kind=kind: shown(prepare(df, kind), kind),
+            config.show_examples,
+            most=config.max_samples,
         )
+        report.examples[kind] = rows.collect()
     return report
 
 

@@ -165,6 +165,31 @@ _INGESTED = f"""
 SELECT row_number() OVER (ORDER BY subset, split, row_id) - 1 AS row_id, chosen, rejected, subset, split
 FROM ({_PLACED})"""
 
+# The two prompts of each pair, and the number of the first message that differs.
+_MISMATCH = f"""
+WITH {_PAIRS}, {_EDGES}, {_parsed("edges")},
+prompts AS (
+  SELECT row_id, a.m[1:coalesce(a.last_reply - 1, len(a.m))] AS x, b.m[1:coalesce(b.last_reply - 1, len(b.m))] AS y
+  FROM chosen_i AS a JOIN rejected_i AS b USING (row_id)),
+places AS (SELECT *, unnest(range(1, greatest(len(x), len(y)) + 1)) AS turn FROM prompts)
+SELECT row_id, turn, x[turn].role AS chosen_role, x[turn].content AS chosen_content,
+       y[turn].role AS rejected_role, y[turn].content AS rejected_content
+FROM places WHERE x[turn] IS DISTINCT FROM y[turn]
+QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY turn) = 1"""
+
+# The raw files of the training split, as the job reads them.
+_JOB = f"""WITH {_PAIRS}, files AS (SELECT * FROM ({_PLACED}) WHERE split = 'train'), {_parsed("files")}"""
+
+
+def _job_stats() -> str:
+    parts = [("sft", "text"), *(("dpo", c) for c in ("prompt", "chosen", "rejected"))]
+    return " UNION ALL ".join(
+        f"SELECT '{kind}' AS format, '{c}' AS column, count(*) AS num_examples, "
+        f"CAST(sum(length({c})) AS DOUBLE) / count(*) AS mean, CAST(min(length({c})) AS BIGINT) AS min, "
+        f"CAST(max(length({c})) AS BIGINT) AS max FROM {kind}"
+        for kind, c in parts
+    )
+
 
 def oracle_sql() -> dict[str, str]:
     dpo = "SELECT row_id, prompt, chosen, rejected FROM dpo"
@@ -280,5 +305,28 @@ FROM (SELECT *, count(*) OVER () AS n, row_number() OVER (ORDER BY md5('42:' ||
             f"SELECT split, count(*) AS rows FROM ({_SPLIT}) GROUP BY split"
         ),
     }
+    sql["split_hash"] = _with(
+        "SELECT row_id, CASE WHEN substr(md5('42:' || row_id), 1, 8) < '0ccccccc' "
+        "THEN 'validation' ELSE 'train' END AS split FROM dpo"
+    )
+    sql["split_saved"] = _with(
+        f"SELECT dpo.* FROM dpo JOIN ({_SPLIT}) AS s USING (row_id) WHERE s.split = 'validation'"
+    )
+    sql["prompt_mismatch"] = _MISMATCH
+    fits = _FITS.format(most=300) + " AND p <= 100"
+    sql["funnel"] = _with(
+        "SELECT n AS rows_in, 0::BIGINT AS nulls, u AS unparsed, n - u - f AS empty, f - k AS over_length, "
+        "k AS kept FROM (SELECT (SELECT count(*) FROM edges) AS n, "
+        "(SELECT count(*) FROM chosen_side WHERE len(m) = 0) AS u, (SELECT count(*) FROM dpo) AS f, "
+        f"(SELECT count(*) FROM ({fits})) AS k)",
+        "edges",
+    )
+    sql["job_sft"] = f"{_JOB} SELECT text, {_FLAT_MESSAGES} FROM sft"
+    sql["job_dpo"] = f"{_JOB} SELECT prompt, chosen, rejected FROM dpo"
+    sql["job_stats"] = f"{_JOB} {_job_stats()}"
+    sql["job_stream"] = _with(
+        f"SELECT 'sft' AS format, text, {_FLAT_MESSAGES}, NULL AS prompt, NULL AS chosen, NULL AS rejected "
+        "FROM sft UNION ALL SELECT 'dpo', NULL, NULL, prompt, chosen, rejected FROM dpo"
+    )
     sql["entry"] = sql["prepare_dpo"]
     return sql

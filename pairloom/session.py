@@ -46,7 +46,28 @@ def scratch_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="pairloom-")
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _file_system(spark, path)
+    return files.exists(folder)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder this package wrote between jobs, once nothing reads it."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, files = _file_system(spark, path)
+    files.delete(folder, True)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a written folder; parents are created, an existing target is an error."""
+    folder, files = _file_system(spark, target)
+    if files.exists(folder):
+        raise ValueError(f"{target} already exists")
+    if folder.getParent() is not None:
+        files.mkdirs(folder.getParent())
+    if not files.rename(_file_system(spark, source)[0], folder):
+        raise OSError(f"cannot rename {source} to {target}")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from pairloom.session import delete_folder, folder_exists, move_folder
+
 
 def write_json(
     df: DataFrame, path: str, *, keep_row_id: bool = True, compression: str | None = None
@@ -23,6 +27,54 @@ def write_json(
     writer.json(path)
 
 
+def write_keyed(
+    df: DataFrame,
+    path: str,
+    key: str,
+    *,
+    mode: str = "errorifexists",
+    null_fields: bool = True,
+    compression: str | None = None,
+) -> None:
+    """Write one table as a folder of JSON-lines parts for each value of `key`, in one pass.
+
+    The table is read and computed once whatever the number of values, and nothing is
+    shuffled: each task sorts its own rows by key and writes a part per value.
+    `null_fields=False` leaves null fields out, for rows of several kinds.
+    """
+    writer = df.write.mode(mode).partitionBy(key).option("ignoreNullFields", str(not null_fields).lower())
+    if compression is not None:
+        writer = writer.option("compression", compression)
+    writer.json(path)
+
+
+def read_keyed(spark: SparkSession, path: str, key: str, value: str, schema: str) -> DataFrame:
+    """The rows of one value of a table written by key; other folders are not read."""
+    table = spark.read.schema(f"{schema}, {key} string").json(path)
+    return table.where(F.col(key) == value).drop(key)
+
+
+def write_formats(both: DataFrame, paths: dict[str, str], *, keep_row_id: bool = True) -> None:
+    """Write each format of `prepare_both` to a path of its own, from one pass over the input.
+
+    One keyed write goes to a folder beside the first path; its parts are then renamed.
+    A format without rows gives an empty folder.
+    """
+    spark = both.sparkSession
+    folder, slash, _ = next(iter(paths.values())).rpartition("/")
+    working = f"{folder}{slash}.formats-{uuid.uuid4().hex}"
+    out = both if keep_row_id else both.drop("row_id")
+    try:
+        write_keyed(out, working, "format", null_fields=False)
+        for kind, path in paths.items():
+            part = f"{working}/format={kind}"
+            if not folder_exists(spark, part):
+                spark.range(0).write.json(part)
+            move_folder(spark, part, path)
+    finally:
+        delete_folder(spark, working)
+
+
 def json_stream(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     return (
         df.writeStream.format("json")

@@ -38,7 +38,8 @@ def canonical(columns, rows):
     def cell(v):
         return round(v, 9) if isinstance(v, float) and math.isfinite(v) else v
 
-    return sorted(columns), sorted(tuple(cell(r[i]) for i in order) for r in rows)
+    cells = [tuple(cell(r[i]) for i in order) for r in rows]
+    return sorted(columns), sorted(cells, key=lambda row: [(v is not None, v) for v in row])
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
