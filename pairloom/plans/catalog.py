@@ -267,6 +267,19 @@ def _written(prepare: Callable[[DataFrame], DataFrame], source: Query, read) ->
     return run
 
 
+def _with_extra(prepared: DataFrame) -> DataFrame:
+    """Prepared pairs with further fields, of which one has a name that rows do not share."""
+    kind = F.concat(F.lit("kind_"), F.pmod("row_id", F.lit(3)).cast("string"))
+    size = F.parse_json(F.length("prompt").cast("string"))
+    return prepared.withColumn(
+        "extra", F.create_map(F.lit("size"), size, kind, F.parse_json(F.lit('{"a": [1, null]}')))
+    )
+
+
+def _read_extra(spark: SparkSession, path: str, _: DataFrame) -> DataFrame:
+    return load_preference_data(spark, path, "variant").withColumn("extra", F.to_json("extra"))
+
+
 def _read_declared(spark: SparkSession, path: str, prepared: DataFrame) -> DataFrame:
     return spark.read.schema(prepared.schema).json(path)
 
@@ -299,6 +312,7 @@ def queries() -> dict[str, Query]:
         "trainer_dpo": _written(
             dpo(), plain, lambda spark, path, _: load_preference_data(spark, path)
         ),
+        "trainer_dpo_extra": _written(lambda df: _with_extra(prepare_for_dpo(df)), plain, _read_extra),
         "stream_sft": _over(_streamed("sft", sft(keep=[])), _flat),
         "stream_dpo": _streamed("dpo", dpo(keep=[])),
         # Projections

@@ -305,6 +305,10 @@ FROM (SELECT *, count(*) OVER () AS n, row_number() OVER (ORDER BY md5('42:' ||
             f"SELECT split, count(*) AS rows FROM ({_SPLIT}) GROUP BY split"
         ),
     }
+    sql["trainer_dpo_extra"] = _with(
+        "SELECT *, '{\"size\":' || length(prompt) || ',\"kind_' || ((row_id % 3 + 3) % 3) || "
+        "'\":{\"a\":[1,null]}}' AS extra FROM dpo"
+    )
     sql["split_hash"] = _with(
         "SELECT row_id, CASE WHEN substr(md5('42:' || row_id), 1, 8) < '0ccccccc' "
         "THEN 'validation' ELSE 'train' END AS split FROM dpo"

@@ -11,6 +11,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from pairloom.session import delete_folder, folder_exists, move_folder
 
+# The column in which readers of prepared tables keep all further fields.
+EXTRA, EXTRA_TYPE = "extra", "map<string,variant>"
+
 
 def write_json(
     df: DataFrame, path: str, *, keep_row_id: bool = True, compression: str | None = None
@@ -18,13 +21,29 @@ def write_json(
     """Write one table as a folder of JSON-lines parts; parents are created.
 
     Nothing is shuffled: each scan task writes its own part. `row_id` is kept
-    by default, as it alone carries the row order. Null fields are written out.
+    by default, as it alone carries the row order. Null fields are written out. A map of
+    further fields, as the reader of prepared tables makes it, is written as fields
+    of the line.
     """
     out = df if keep_row_id else df.drop("row_id")
-    writer = out.write.mode("errorifexists").option("ignoreNullFields", "false")
+    mapped = dict(out.dtypes).get(EXTRA) == EXTRA_TYPE
+    writer = (_lines(out) if mapped else out).write.mode("errorifexists")
     if compression is not None:
         writer = writer.option("compression", compression)
-    writer.json(path)
+    if mapped:
+        writer.text(path)
+    else:
+        writer.option("ignoreNullFields", "false").json(path)
+
+
+def _lines(df: DataFrame) -> DataFrame:
+    """Rows as JSON lines, the entries of their map of further fields after the columns."""
+    options = {"ignoreNullFields": "false"}
+    own = F.to_json(F.struct(*[c for c in df.columns if c != EXTRA]), options)
+    more = F.to_json(F.col(EXTRA), options)
+    both = F.concat(F.expr("left(own, length(own) - 1)"), F.lit(","), F.expr("substr(more, 2)"))
+    lines = df.select(own.alias("own"), more.alias("more"))
+    return lines.select(F.when(F.length("more") > 2, both).otherwise(F.col("own")).alias("value"))
 
 
 def write_keyed(

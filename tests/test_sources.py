@@ -345,3 +345,66 @@ def test_ingest_is_repeatable_and_refuses_other_files(spark, tmp_path, monkeypat
     assert names(P.open_pairs(spark, target)) == ["a", "b"]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         P.ingest_pairs(spark, str(tmp_path / "none"), target)
+
+
+def test_prepared_json_is_read_once(spark, tmp_path, monkeypatch):
+    """Presence is judged by counts of the one staging pass; ids that some rows lack are refused."""
+    lines = [json.dumps({"prompt": f"p{n}", "chosen": "c", "rejected": "r"}) for n in range(50)]
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    table = P.load_preference_data(spark, str(tmp_path / "a.json"))
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "json" not in plan.lower() and "Join" not in plan
+    assert sorted(tuple(r)[:2] for r in table.collect()) == [(n, f"p{n}") for n in range(50)]
+    mixed = [json.dumps({"row_id": 1, "prompt": "p", "chosen": "c", "rejected": "r"}), *lines[:2]]
+    (tmp_path / "b.json").write_text("\n".join(mixed))
+    for read in (P.load_preference_data, P.load_training_text):
+        with pytest.raises(ValueError, match="row_id is null in 2 of 3 rows"):
+            read(spark, str(tmp_path / "b.json"))
+    # A malformed line has no id, but no other value either.
+    (tmp_path / "c.json").write_text(mixed[0] + "\nnot json\n")
+    rows = P.load_preference_data(spark, str(tmp_path / "c.json"), on_null="drop").collect()
+    assert [tuple(r) for r in rows] == [(1, "p", "c", "r")]
+    nulls = spark.createDataFrame([(1, "p", "c", "r"), (None, "p", "c", "r")], "row_id bigint, prompt string, chosen string, rejected string")
+    nulls.write.parquet(str(tmp_path / "d"))
+    with pytest.raises(ValueError, match="row_id is null"):
+        P.load_preference_data(spark, str(tmp_path / "d"), file_format="parquet")
+    (tmp_path / "none").mkdir()
+    assert P.load_preference_data(spark, str(tmp_path / "none")).collect() == []
+    (tmp_path / "e.json").write_text("")
+    assert P.load_preference_data(spark, str(tmp_path / "e.json")).collect() == []
+
+
+def test_other_fields_pass_through_as_variants(spark, tmp_path):
+    records = [
+        {"prompt": "p", "chosen": "c", "rejected": "r", "score": 2, "tags": ["a", {"b": None}], "prompt.x": 1.5},
+        {"prompt": "p2", "chosen": "c", "rejected": "r", "row": {"x": [True]}, "extra": "own", "t\"q": "é\n"},
+        {"prompt": "p3", "chosen": "c", "rejected": "r"},
+    ]
+    (tmp_path / "x.json").write_text("\n".join(json.dumps(r) for r in records) + "\n\n")
+    table = P.load_preference_data(spark, str(tmp_path / "x.json"), "variant")
+    assert table.dtypes == [("row_id", "bigint"), ("prompt", "string"), ("chosen", "string"), ("rejected", "string"), ("extra", "map<string,variant>")]
+    got = {r.row_id: json.loads(r.extra) for r in table.select("row_id", F.to_json("extra").alias("extra")).collect()}
+    others = [{k: v for k, v in r.items() if k not in ("prompt", "chosen", "rejected")} for r in records]
+    assert got == dict(enumerate(others))
+    value = F.try_variant_get(F.col("extra")["score"], "$", "int")
+    assert table.where(value == 2).count() == 1
+    P.write_json(table, str(tmp_path / "out"), keep_row_id=False)
+    written = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert sorted(written, key=lambda r: r["prompt"]) == records
+    again = P.load_preference_data(spark, str(tmp_path / "out"), "variant")
+    assert again.count() == 3
+    side = P.create_train_val_split(table, 1)["validation"]
+    assert side.count() == 1 and "extra" in side.columns
+    with pytest.raises(ValueError, match="variant"):
+        P.load_preference_data(spark, str(tmp_path), "variant", file_format="parquet")
+
+
+def test_too_many_fields_are_refused(spark, tmp_path, monkeypatch):
+    from pairloom.sources import prepared
+
+    monkeypatch.setattr(prepared, "MAX_FIELDS", 5)
+    record = {"prompt": "p", "chosen": "c", "rejected": "r"} | {f"f{k}": k for k in range(3)}
+    (tmp_path / "x.json").write_text(json.dumps(record))
+    with pytest.raises(ValueError, match="variant"):
+        P.load_preference_data(spark, str(tmp_path / "x.json"), "all")
+    assert P.load_preference_data(spark, str(tmp_path / "x.json"), "variant").count() == 1
