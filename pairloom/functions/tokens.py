@@ -43,11 +43,11 @@ def native_tokenizer(template: ChatTemplate = CHATML, special_per_call: int = 0)
     """
 
     # A token with the blanks after it, up to the next token.
-    step = F.lit(f"[^{BLANKS}]++[{BLANKS}]*+")
+    step = f"[^{BLANKS}]++[{BLANKS}]*+"
 
     def count(text: Column) -> Column:
         # One letter stands for each step, so that no list of tokens is made.
-        steps = F.regexp_replace(F.ltrim(text, F.lit(BLANKS)), step, F.lit("x"))
+        steps = F.regexp_replace(F.ltrim(text, F.lit(BLANKS)), step, "x")
         return (F.octet_length(steps) + special_per_call).cast("bigint")
 
     def count_all(texts: Mapping[str, Column]) -> Column:
