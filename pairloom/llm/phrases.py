@@ -116,7 +116,7 @@ class _Sums:
 
     def _merge(self) -> pa.Table:
         table = pa.concat_tables(self.parts, promote_options="none")
-        table = table.group_by(self.keys).aggregate([("n", "sum")]).rename_columns([*self.keys, "n"])
+        table = table.group_by(self.keys, use_threads=False).aggregate([("n", "sum")]).rename_columns([*self.keys, "n"])
         self.parts, self.rows = [table], table.num_rows
         return table
 
@@ -135,7 +135,7 @@ def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _worded(batch, names):
             text = as_strings(words.data, words.places[:-1], words.places[1:] - 1)
             table = pa.table({"lang": words.langs, "word": text})
-            table = table.group_by(["lang", "word"]).aggregate([([], "count_all")]).rename_columns(["lang", "word", "n"])
+            table = table.group_by(["lang", "word"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["lang", "word", "n"])
             sums.add(table.set_column(0, "lang", pa.array(names, pa.string()).take(table["lang"])))
         for out in sums.ready():
             yield _plain(out)
@@ -272,7 +272,7 @@ def _suffixes(marks, pair_marks, heavy, longest: int) -> Callable[[Iterable[pa.R
                 text = as_strings(words.data, words.places[first], words.places[first + depth])
                 columns = {"lang": words.langs[first], "suffix": text, "prefix": prefix.view(np.int64), "split": split}
                 keys = list(columns)
-                table = pa.table(columns).group_by(keys).aggregate([([], "count_all")]).rename_columns([*keys, "n"])
+                table = pa.table(columns).group_by(keys, use_threads=False).aggregate([([], "count_all")]).rename_columns([*keys, "n"])
                 sums.add(table.set_column(0, "lang", pa.array(names, pa.string()).take(table["lang"])))
             for out in sums.ready():
                 yield _plain(out)
