@@ -20,7 +20,8 @@ _SPACES = "\\t-\\r \\x85\\xa0"
 _WORD = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+"
 )
-_MOST_WORDS = 500_000  # kept per worker and level; others are encoded each time
+# Kept per worker, each some 150 bytes; others are encoded each time.
+_MOST_RUNS, _MOST_WORDS = 300_000, 80_000
 _ODD_SPACES = re.compile("[\x1c-\x1f]")
 
 
@@ -37,12 +38,12 @@ def _byte_letters() -> dict[int, str]:
 class _Kept(dict):
     """Packed ids by text; those of missing texts are made."""
 
-    def __init__(self, encode: Callable[[str], bytes]) -> None:
-        self.encode = encode
+    def __init__(self, encode: Callable[[str], bytes], most: int) -> None:
+        self.encode, self.most = encode, most
 
     def __missing__(self, word: str) -> bytes:
         packed = self.encode(word)
-        if len(self) < _MOST_WORDS:
+        if len(self) < self.most:
             self[word] = packed
         return packed
 
@@ -70,8 +71,8 @@ def encoder(path: str) -> Callable[[str | None], bytes]:
             text = text.encode().decode("latin-1")
         return pack([t.id for t in merge(text.translate(letters))])
 
-    words = _Kept(word)
-    runs = _Kept(lambda text: b"".join(map(words.__getitem__, _WORD.findall(text))))
+    words = _Kept(word, _MOST_WORDS)
+    runs = _Kept(lambda text: b"".join(map(words.__getitem__, _WORD.findall(text))), _MOST_RUNS)
     specials = [t.content for t in whole.get_added_tokens_decoder().values()]
 
     def encode(text: str | None) -> bytes:
