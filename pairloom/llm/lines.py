@@ -23,6 +23,8 @@ from .words import mix, powers, slices, text_bytes
 
 _NEWLINE = 0x0A
 _LEAST = 20  # bytes; a shorter line is left alone
+_FEW = 8  # lines of a key that all meet at once
+_TURNS = 6  # most rounds that link lines of a common key to one drawn from them
 _PAIR_BYTES = 1 << 21  # of padded lines whose distances are worked out together
 
 
@@ -252,32 +254,122 @@ def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.set_column(at, "__text", pa.array(kept, pa.string())).drop_columns(["__gone"])
 
 
+_SHAPE = "key long, line long, sketch long"
+
+
+def _meet(index: DataFrame, probing: DataFrame, edits: int, further: str = "true") -> DataFrame:
+    """Pairs (a, b) of different lines that meet in a key and whose sketches allow a link."""
+    a = index.withColumnsRenamed({c: f"{c}_a" for c in index.columns})
+    b = probing.withColumnsRenamed({c: f"{c}_b" for c in probing.columns})
+    near = f"line_a <> line_b AND bit_count(sketch_a ^ sketch_b) <= {2 * edits} AND {further}"
+    met = a.join(b, (F.col("key_a") == F.col("key_b")) & F.expr(near))
+    return met.select(F.least("line_a", "line_b").alias("a"), F.greatest("line_a", "line_b").alias("b")).distinct()
+
+
+class _Lines:
+    """Bytes of the lines that occur in pairs, looked up once."""
+
+    def __init__(self, text: DataFrame, lines: DataFrame, scratch: Scratch, edits: int, least: int) -> None:
+        self.edits, self.scratch = edits, scratch
+        wanted, bits = mark_bytes(lines, "line")
+        context = text.sparkSession.sparkContext
+        wanted = context.broadcast(wanted)
+        found = text.mapInArrow(_texts_of(wanted, bits, least), "line long, bytes binary")
+        found = found.join(lines, "line", "left_semi").dropDuplicates(["line"])
+        self.bytes = scratch.put(found, "texts")
+        wanted.unpersist()
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs that are within reach."""
+        x = self.bytes.select(F.col("line").alias("a"), F.col("bytes").alias("x"))
+        y = self.bytes.select(F.col("line").alias("b"), F.col("bytes").alias("y"))
+        near = pairs.join(x, "a").join(y, "b").mapInArrow(_verify(self.edits), "a long, b long")
+        return self.scratch.put(near, "links")
+
+
+def _placed(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows with the component of their line so far."""
+    own = parts.select(F.col("id").alias("line"), "component")
+    return rows.join(own, "line", "left").withColumn("component", F.coalesce("component", "line"))
+
+
+def _still_open(members: DataFrame) -> DataFrame:
+    """Keys whose lines are of several components, with the component of most lines."""
+    sizes = members.groupBy("key", "component").agg(F.count("*").alias("n"))
+    return (
+        sizes.groupBy("key")
+        .agg(F.max_by("component", F.struct("n", "component")).alias("giant"), F.count("*").alias("kinds"))
+        .where("kinds > 1")
+        .select("key", "giant")
+    )
+
+
+def _apart(indexed: DataFrame, members: DataFrame, edits: int) -> DataFrame:
+    """All pairs of common keys that lie in different components.
+
+    Sketches within reach agree in one of 2 * edits + 1 parts of their bits, which
+    joins the key, so that lines which share little more than a segment do not meet. Lines
+    of the component that holds most of a key never meet each other.
+    """
+    parts = 2 * edits + 1
+    width = -(-64 // parts)
+    part = F.expr(f"transform(sequence(0, {parts - 1}), p -> shiftrightunsigned(shiftleft(sketch, p * {width}), {64 - width}))")
+
+    def dealt(rows: DataFrame, open_: DataFrame) -> DataFrame:
+        own = rows.join(open_, "key").withColumn("largest", F.col("component") == F.col("giant"))
+        own = own.select("line", "sketch", "component", "largest", "key", F.posexplode(part).alias("p", "bits"))
+        return own.select(F.xxhash64("key", "p", "bits").alias("key"), "line", "sketch", "component", "largest")
+
+    open_ = _still_open(members)
+    x, y = dealt(indexed, open_), dealt(members, open_)
+    differ = "component_a <> component_b"
+    few = _meet(x.where("NOT largest"), y, edits, differ)
+    return few.unionByName(_meet(x.where("largest"), y.where("NOT largest"), edits, differ)).distinct()
+
+
 def similar_lines(base: DataFrame, scratch: Scratch, edits: int, least: int) -> DataFrame:
-    """(id, component) of hashes of different lines that are within `edits` of each other."""
+    """(id, component) of hashes of different lines that are within `edits` of each other.
+
+    Where few lines share a key, all of them meet. In a key of more than _FEW lines they
+    first meet one of them, then others drawn from those that still lie apart, as long as
+    that links any; what lies apart in the end meets in full, on finer keys.
+    """
     text = base.select("text")
-    shape = "key long, line long, sketch long"
-    index = text.mapInArrow(_keys("index", edits, least), shape).distinct()
-    probing = text.mapInArrow(_keys("probe", edits, least), shape)
-    probing = probing.select("key", F.col("line").alias("b"), F.col("sketch").alias("sketch_b"))
-    pairs = index.withColumnRenamed("line", "a").join(
-        probing, (index["key"] == probing["key"]) & F.expr(f"a <> b AND bit_count(sketch ^ sketch_b) <= {2 * edits}")
-    )
-    pairs = scratch.put(
-        pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"
-    )
+    index = text.mapInArrow(_keys("index", edits, least), _SHAPE).distinct()
+    index = scratch.put(index, "index", narrow=True)
+    hub = F.min(F.struct("line", "sketch")).alias("hub")
+    common = index.groupBy("key").agg(F.count("*").alias("n"), hub).where(F.col("n") > _FEW)
+    common = scratch.put(common.select("key", "hub.line", "hub.sketch"), "common", narrow=True)
+    probing = text.mapInArrow(_keys("probe", edits, least), _SHAPE)
+    any_common = not common.isEmpty()
+    few = index.join(common.select("key"), "key", "left_anti").unionByName(common) if any_common else index
+    pairs = scratch.put(_meet(few, probing, edits), "pairs", narrow=True)
     lines = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
-    wanted, bits = mark_bytes(lines, "line")
-    wanted = base.sparkSession.sparkContext.broadcast(wanted)
-    texts = (
-        text.mapInArrow(_texts_of(wanted, bits, least), "line long, bytes binary")
-        .join(lines, "line", "left_semi")
-        .dropDuplicates(["line"])
-    )
-    texts = scratch.put(texts, "texts")
-    x = texts.select(F.col("line").alias("a"), F.col("bytes").alias("x"))
-    y = texts.select(F.col("line").alias("b"), F.col("bytes").alias("y"))
-    links = pairs.join(x, "a").join(y, "b").mapInArrow(_verify(edits), "a long, b long")
-    return components(scratch.put(links, "links"), scratch)
+    if not any_common:
+        links = _Lines(text, lines, scratch, edits, least).links(pairs)
+        return components(links, scratch)
+
+    marked = with_mark(probing, mark_table(common, "key", hashed=False), F.col("key")).where("__hit").drop("__hit")
+    members = scratch.put(marked.join(common.select("key"), "key", "left_semi").distinct(), "members", narrow=True)
+    indexed = scratch.put(index.join(common.select("key"), "key", "left_semi"), "indexed", narrow=True)
+    lines = lines.unionByName(members.select("line")).distinct()
+    table = _Lines(text, scratch.put(lines, "lines", narrow=True), scratch, edits, least)
+    links = table.links(pairs)
+    parts = components(links, scratch)
+    for turn in range(_TURNS):
+        own = _placed(members, parts)
+        apart = _placed(indexed, parts).join(_still_open(own), "key").where("component <> giant").drop("giant")
+        order = F.xxhash64("line", F.lit(turn))
+        hubs = apart.groupBy("key").agg(F.min_by(F.struct("line", "sketch", "component"), order).alias("hub"))
+        met = _meet(hubs.select("key", "hub.*"), own, edits, "component_a <> component_b")
+        found = table.links(scratch.put(met, "pairs", narrow=True))
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        parts = components(links, scratch)
+    met = _apart(_placed(indexed, parts), _placed(members, parts), edits)
+    found = table.links(scratch.put(met, "pairs", narrow=True))
+    return parts if found.isEmpty() else components(links.unionByName(found), scratch)
 
 
 def dedup_lines(

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pairloom.llm import lines
 from pairloom.llm.lines import dedup_lines, line_table, probes, segments, within_edits
 from pairloom.llm.queries import op8_line_dedup
 
@@ -127,6 +128,22 @@ def test_dedup_matches_all_pairs(spark, seed, edits):
     assert dedup_lines(docs.where("false")).collect() == []
 
 
+@pytest.mark.parametrize("few, turns", [(1, 0), (1, 6), (2, 1)])
+def test_common_segments_meet_in_rounds(spark, monkeypatch, few, turns):
+    """Nearly every key counts as common, and what the rounds leave meets on finer keys."""
+    monkeypatch.setattr(lines, "_FEW", few)
+    monkeypatch.setattr(lines, "_TURNS", turns)
+    rng = random.Random(few + turns)
+    stem = "a common stem of lines that "
+    pool = [stem + "".join(rng.choices("abcd", k=6)) for _ in range(60)]  # share segments, seldom near
+    pool += [edited(rng, "one line of which there are many near copies", rng.choice([1, 1, 2])) for _ in range(60)]
+    pool += [edited(rng, rng.choice(pool), 1) for _ in range(30)]
+    rows = [(i, "\n".join(rng.choices(pool, k=4)), "k", i) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, line string, r1 long")
+    got = [(r[0], r[1], r[4]) for r in dedup_lines(docs).collect()]
+    assert sorted(got, key=str) == brute(rows, 2, 20)
+
+
 def test_query_covers_all_documents(spark):
     got = op8_line_dedup(spark, "/root/testdata/sf0.001").collect()
     assert sorted(r.doc_id for r in got) == list(range(200))
