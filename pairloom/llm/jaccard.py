@@ -6,14 +6,17 @@ others by hash. Two sets of similarity t or more differ in at most
 slack(x) = |x| - ceil(t|x|) tokens of either, so whichever prefix ends first
 keeps a token, or a k-combination of tokens, that the other prefix holds too:
 
-* a set with more than slack light tokens indexes its first slack + 1 of them;
-* any other set extends its prefix into the frequent tokens and indexes pairs
-  of those within small hash classes: n tokens of a class give n - 1 cover, and
-  the prefix goes on until light tokens and cover exceed the slack.
+* a set with more than slack + 1 light tokens indexes its first slack + 2 of them, of
+  which a linked set holds two, so that sets which share but one never meet further;
+* any other set indexes all its light tokens, extends its prefix into the frequent
+  ones and indexes pairs of those within small hash classes: n tokens of a class give
+  n - 1 cover, and the prefix goes on until light tokens and cover exceed the slack.
+  Two such sets meet in one token or one pair.
 
 Sets of equal content are one from the start. Candidates pass a lossless parity
-sketch and are then verified on the sets. Large groups of frequent combinations
-are first linked to their best member; only members still apart meet as pairs.
+sketch and are then verified on the sets. Groups of frequent combinations are first
+linked to their best member, each set in one group; then one member of each component
+goes on, as long as that links any; only members still apart meet as pairs.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ _CHUNK = 1 << 16
 _LOW = np.uint64(1 << 62)  # light tokens lie below: a quarter of all, prefixes need a tenth
 _LIGHT = 32  # documents a light token may have beyond the usual load of a counter
 _BLOCK = 2048  # members of a combination that are compared in one task
-_STARS = 2  # rounds that link a group to its best member
+_STARS = 3  # rounds that link a group to its best member
 
 
 def slack(n: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -107,7 +110,7 @@ def _describe(size: int, percent: int) -> Callable:
                 n = len(tokens)
                 low = tokens[: np.searchsorted(tokens, _LOW)]
                 np.add.at(counts, _counter(low), 1)
-                first = 3 * (slack(n, percent) + 1) // 2 + 8
+                first = 3 * (slack(n, percent) + 2) // 2 + 8
                 out["n"].append(n)
                 sums = np.array([mix(tokens).sum(), mix(~tokens).sum()], np.uint64)
                 out["print"].append(sums.tobytes() + n.to_bytes(4, "little") if n else None)
@@ -163,7 +166,7 @@ def _light_keys(counts, limit: float, percent: int) -> Callable:
             keys, ids, sizes = [], [], []
             for i, n, low in zip(*(batch.column(c).to_pylist() for c in ("id", "n", "low")), strict=True):
                 tokens = np.frombuffer(low, np.uint64)
-                need = slack(n, percent) + 1
+                need = slack(n, percent) + 2
                 light = tokens[table[_counter(tokens)] < limit][:need]
                 short = len(light) < need
                 keys.append(np.zeros(1, np.int64) if short else light.astype(np.int64))
@@ -179,7 +182,10 @@ def _light_keys(counts, limit: float, percent: int) -> Callable:
 
 
 def _extended_keys(counts, limit: float, size: int, percent: int) -> Callable:
-    """Of sets short of light tokens: all their light keys, and pairs of frequent tokens."""
+    """Of sets short of light tokens: all their light keys, and pairs of frequent tokens.
+
+    n of a light key is negative where the set has no more than the slack plus one.
+    """
     schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("parity", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,11 +197,11 @@ def _extended_keys(counts, limit: float, size: int, percent: int) -> Callable:
                 light = np.zeros(n, bool)
                 light[low] = table[_counter(tokens[low])] < limit
                 need = slack(n, percent) + 1
-                singles, rest = tokens[light][:need], tokens[~light]
+                singles, rest = tokens[light][: need + 1], tokens[~light]
                 keys = [singles.astype(np.int64)]
                 for level in _levels(n, percent):
                     classes = _classes(level, percent)
-                    some = rest[: need - len(singles) + classes]
+                    some = rest[: max(need - len(singles), 0) + classes]
                     which = (mix(some) % np.uint64(classes)).astype(np.int64)
                     for c in np.unique(which):
                         own = mix(some[which == c] + np.uint64(level))
@@ -203,7 +209,10 @@ def _extended_keys(counts, limit: float, size: int, percent: int) -> Callable:
                         keys.append((mix(own[a] * np.uint64(3) + own[b]) | np.uint64(1 << 63)).astype(np.int64))
                 key = np.concatenate(keys)
                 parity = [None] * len(singles) + [_parity(tokens)] * (len(key) - len(singles))
-                yield _batch(schema, {"key": key, "id": np.full(len(key), i), "n": np.full(len(key), n), "parity": parity})
+                sizes = np.full(len(key), n)
+                if len(singles) <= need:
+                    sizes[: len(singles)] = -n
+                yield _batch(schema, {"key": key, "id": np.full(len(key), i), "n": sizes, "parity": parity})
 
     return run
 
@@ -231,24 +240,33 @@ _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _light_pairs(percent: int) -> Callable:
-    """Pairs within a light key, whose group is small by the count; once per run."""
+    """a, b, weight: pairs within a light key, whose group is small by the count.
+
+    A meeting of two sets short of light tokens (negative n) weighs 2, any other 1.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, ["key"]):
             key, ids, n = (table.column(c).to_numpy() for c in ("key", "id", "n"))
+            short, n = n < 0, np.abs(n)
             heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             length = np.diff(np.r_[heads, len(key)])
-            found = []
+            found, weights = [], []
             for m in np.unique(length[length > 1]):
                 at = heads[length == m][:, None]
                 x, y = np.triu_indices(int(m), 1)
                 a, b = (at + x).ravel(), (at + y).ravel()
                 close = np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * percent
-                a, b = ids[a[close]], ids[b[close]]
-                found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b])
+                close &= ids[a] != ids[b]
+                a, b = a[close], b[close]
+                weights.append(1 + (short[a] & short[b]))
+                found.append(np.stack([np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])], 1))
             if found:
-                pairs = np.unique(np.concatenate(found), axis=0)
-                yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIR)
+                pairs, which = np.unique(np.concatenate(found), axis=0, return_inverse=True)
+                weight = np.bincount(which.ravel(), np.concatenate(weights), len(pairs)).astype(np.int64)
+                yield pa.record_batch(
+                    [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(weight)], names=["a", "b", "weight"]
+                )
 
     return run
 
@@ -433,21 +451,27 @@ def similar_documents(
         ),
         "extended",
     )
+    counts.unpersist()
     light = keys.where("n > 0").unionByName(extended.where("parity IS NULL").select("key", "id", "n"))
     pairs = (
         light.repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(_light_pairs(percent), "a long, b long")
-        .distinct()
+        .mapInArrow(_light_pairs(percent), "a long, b long, weight long")
+        .groupBy("a", "b")
+        .agg(F.sum("weight").alias("weight"))
+        .where("weight > 1")
+        .select("a", "b")
     )
     pairs = scratch.put(pairs, "met", narrow=True)
-    p = firsts.select(F.col("id").alias("a"), "n", F.col("parity").alias("p"))
-    q = firsts.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("parity").alias("q"))
+    ends = scratch.put(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
+    near = scratch.put(narrowed(firsts.select("id", "n", "parity"), ends, "id"), "near")
+    p = near.select(F.col("id").alias("a"), "n", F.col("parity").alias("p"))
+    q = near.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("parity").alias("q"))
     pairs = pairs.join(p, "a").join(q, "b").mapInArrow(_passes(percent), "a long, b long")
     pairs = scratch.put(pairs, "pairs")
 
     groups = extended.where("parity IS NOT NULL")
-    many = groups.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    many = groups.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     groups = scratch.put(groups.join(many, "key"), "groups")
     wanted = (
         pairs.select(F.col("a").alias("id"))
@@ -464,21 +488,37 @@ def similar_documents(
     )
     links = scratch.put(_linked(pairs, sets, percent), "links")
     parts = components(links, scratch)
-    for stars in [True] * _STARS + [False]:
-        cells = _apart(groups, parts)
+
+    def met_in(members: DataFrame, stars: bool) -> DataFrame:
+        """Links between members of a group that lie in different components."""
         found = (
-            cells.repartition("key", "block")
+            _apart(members, parts)
+            .repartition("key", "block")
             .sortWithinPartitions("key", "block")
             .mapInArrow(_group_pairs(percent, stars), "a long, b long")
             .distinct()
         )
         found = scratch.put(found, "found")
         ends = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        found = scratch.put(_linked(found, narrowed(sets, ends, "id"), percent), "links")
-        if stars and found.isEmpty():
-            continue
+        return scratch.put(_linked(found, narrowed(sets, ends, "id"), percent), "links")
+
+    one = groups.groupBy("id").agg(F.max(F.struct("members", "key")).alias("at")).select("id", "at.key")
+    groups = groups.drop("members")
+    for turn in range(_STARS):
+        if turn:  # one member of each component and group
+            own = groups.join(parts, "id", "left").withColumn("comp", F.coalesce("component", "id"))
+            drawn = F.min_by(F.struct("id", "n", "parity"), F.xxhash64("id", F.lit(turn)))
+            some = own.groupBy("key", "comp").agg(drawn.alias("member")).select("key", "member.*")
+        else:  # the largest group of each set
+            some = groups.join(one, ["id", "key"])
+        found = met_in(some, stars=True)
+        if turn and found.isEmpty():
+            break
         links = links.unionByName(found)
         parts = components(links, scratch)
+    found = met_in(groups, stars=False)
+    if not found.isEmpty():
+        links = links.unionByName(found)
     parts = components(links.unionByName(copies.drop("print")), scratch)
     return (
         rows.select("id", "n")
