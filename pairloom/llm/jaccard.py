@@ -16,7 +16,7 @@ keeps a token, or a k-combination of tokens, that the other prefix holds too:
 Sets of equal content are one from the start. Candidates pass a lossless parity
 sketch and are then verified on the sets. Groups of frequent combinations are first
 linked to their best member, each set in one group; then one member of each component
-goes on, as long as that links any; only members still apart meet as pairs.
+goes on in turn; only members still apart meet as pairs.
 """
 
 from __future__ import annotations
