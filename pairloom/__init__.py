@@ -9,6 +9,7 @@ from pairloom.functions.text import (
     reconstruct_conversation,
 )
 from pairloom.functions.tokens import Tokenizer, native_tokenizer, python_tokenizer
+from pairloom.operators.assemble import assemble_conversations
 from pairloom.operators.funnel import Funnel
 from pairloom.operators.limits import first_prepared, first_rows
 from pairloom.operators.mismatch import prompt_mismatch
@@ -42,6 +43,7 @@ __all__ = [
     "ChatTemplate",
     "Funnel",
     "Tokenizer",
+    "assemble_conversations",
     "create_train_val_split",
     "dataset_statistics",
     "excerpt",

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pairloom.functions import text as T
 from pairloom.functions.binding import bind_columns
 from pairloom.functions.preview import excerpt
+from pairloom.functions.template import INST
 from pairloom.functions.tokens import native_tokenizer, python_tokenizer
+from pairloom.operators.assemble import assemble_conversations
 from pairloom.operators.funnel import Funnel
 from pairloom.operators.limits import first_prepared, first_rows
 from pairloom.operators.mismatch import prompt_mismatch
@@ -31,6 +33,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Limits tight enough that the length filters drop rows of the given tables.
 MAX_LENGTH, MAX_PROMPT_LENGTH = 300, 100
 NATIVE = native_tokenizer()
+# Another template, and two marker tokens for each text that is counted.
+MARKED = native_tokenizer(INST, special_per_call=2)
 
 
 def _plain_python_tokenizer():
@@ -126,6 +130,15 @@ def _split_counts(df: DataFrame) -> DataFrame:
 SUBSETS = ("short", "long")
 
 
+def _with_nulls(df: DataFrame) -> DataFrame:
+    """The same pairs, every fifth without `chosen` and every seventh without `rejected`."""
+
+    def missing(column: str, step: int) -> Column:
+        return F.when(F.pmod("row_id", F.lit(step)) != 0, F.col(column))
+
+    return df.withColumns({"chosen": missing("chosen", 5), "rejected": missing("rejected", 7)})
+
+
 def _place(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
@@ -316,6 +329,7 @@ def queries() -> dict[str, Query]:
         "stream_sft": _over(_streamed("sft", sft(keep=[])), _flat),
         "stream_dpo": _streamed("dpo", dpo(keep=[])),
         # Projections
+        "assemble": _over(_table("conversations"), assemble_conversations),
         "parse_messages": _over(plain, _messages),
         "parse_messages_edge": _over(edges, _messages),
         "prompt_response": _over(plain, _prompt_response),
@@ -330,16 +344,22 @@ def queries() -> dict[str, Query]:
         "extract_pair_edge": _over(edges, _extracted),
         "chat_render": _over(edges, _rendered(NATIVE)),
         "chat_render_generation": _over(edges, _rendered(NATIVE, True)),
+        "chat_render_inst": _over(edges, _rendered(MARKED)),
         "chat_render_hook": _over(edges, _rendered(hook)),
         "prepare_sft": _over(plain, sft(), _flat),
         "prepare_sft_edge": _over(edges, sft(), _flat),
         "prepare_sft_chat": _over(edges, sft(NATIVE), _flat),
         "prepare_dpo": _over(plain, dpo()),
         "prepare_dpo_edge": _over(edges, dpo()),
+        "prepare_sft_nulls": _over(edges, _with_nulls, sft(on_null="drop"), _flat),
+        "prepare_dpo_nulls": _over(edges, _with_nulls, dpo(on_null="drop")),
         "sft_text_from_pairs": _over(edges, dpo(), sft_text_from_pairs),
         # Filters
         "dropped_empty": _over(edges, _empty),
         "sft_length_filter": _over(edges, sft(NATIVE, MAX_LENGTH, use_chat_template=False), _flat),
+        "sft_chat_length_filter": _over(edges, sft(NATIVE, MAX_LENGTH), _flat),
+        "sft_special_length_filter": _over(edges, sft(MARKED, MAX_LENGTH), _flat),
+        "dpo_special_length_filter": _over(edges, dpo(MARKED, MAX_LENGTH, MAX_PROMPT_LENGTH)),
         "dpo_length_filter": _over(edges, dpo(NATIVE, MAX_LENGTH, MAX_PROMPT_LENGTH)),
         "dpo_length_noprompt": _over(edges, dpo(NATIVE, MAX_LENGTH, None)),
         "dpo_length_off": _over(edges, dpo(NATIVE, None, MAX_PROMPT_LENGTH)),
@@ -370,6 +390,10 @@ def queries() -> dict[str, Query]:
         "split_counts": _over(
             plain, dpo(), _split_counts
         ),
+        "split_other_seed": _over(
+            plain, dpo(), lambda df: with_split(df, 0.3, seed=7).select("row_id", "split")
+        ),
+        "split_rows": _over(plain, dpo(), lambda df: with_split(df, 17).select("row_id", "split")),
         "split_hash": _over(plain, dpo(), lambda df: with_hash_split(df).select("row_id", "split")),
         "split_saved": _split_saved,
         # Reports and the job

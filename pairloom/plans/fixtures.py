@@ -12,46 +12,15 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import text as T
 from pairloom.functions.binding import bind_columns
+from pairloom.operators.assemble import assemble_conversations
 from pairloom.session import scratch_dir
 
-# Turns joined per block, see `conversations_from_turns`.
-BLOCK_TURNS = 256
-
-
-def _join_in_order(order: list[str], value: str) -> Column:
-    items = F.sort_array(F.collect_list(F.struct(*order, value)))
-    return F.array_join(F.transform(items, lambda x: x[value]), T.BLANK_LINE)
-
-
-def conversations_from_turns(turns: DataFrame) -> DataFrame:
-    """`conv_id, chosen`: the user and assistant turns of each conversation.
-
-    Turns are first joined in blocks and then the blocks, so that the turns of
-    one very long conversation are sorted and joined by many tasks. Both steps
-    combine on the map side.
-    """
-    label = F.when(F.col("role") == "user", F.lit(T.HUMAN)).otherwise(F.lit(T.ASSISTANT))
-    spoken = F.col("conv_id").isNotNull() & F.col("role").isin("user", "assistant")
-    lines = turns.where(spoken).select(
-        "conv_id",
-        F.floor(F.col("turn") / BLOCK_TURNS).alias("block"),
-        "turn",
-        "role",
-        F.concat(label, F.lit(" "), "text").alias("line"),
-    )
-    blocks = lines.groupBy("conv_id", "block").agg(
-        _join_in_order(["turn", "role"], "line").alias("part")
-    )
-    whole = blocks.groupBy("conv_id").agg(_join_in_order(["block"], "part").alias("whole"))
-    return whole.select("conv_id", F.concat(F.lit(T.BLANK_LINE), "whole").alias("chosen"))
-
-
 def pairs_from_turns(turns: DataFrame) -> DataFrame:
     """`row_id, chosen, rejected`; the rejected reply is the next conversation's.
 
     A conversation without a next one keeps its own reply.
     """
-    whole = conversations_from_turns(turns)
+    whole = assemble_conversations(turns)
     sides = bind_columns(
         whole, ["conv_id", "chosen"], parsed=T.format_conversation(F.col("chosen"))
     )

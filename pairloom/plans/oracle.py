@@ -309,6 +309,25 @@ FROM (SELECT *, count(*) OVER () AS n, row_number() OVER (ORDER BY md5('42:' ||
         "SELECT *, '{\"size\":' || length(prompt) || ',\"kind_' || ((row_id % 3 + 3) % 3) || "
         "'\":{\"a\":[1,null]}}' AS extra FROM dpo"
     )
+    inst = (
+        "'<s>' || coalesce(array_to_string(list_transform(m, lambda x: CASE WHEN x.role = 'user' "
+        "THEN '[INST] ' || x.content || ' [/INST]' ELSE ' ' || x.content || '</s>' END), ''), '')"
+    )
+    sql["assemble"] = _with("SELECT row_id AS conv_id, chosen FROM conv", parsed=False)
+    sql["chat_render_inst"] = _with(f"SELECT row_id, {inst} AS text FROM chosen_side", "edges")
+    sql["prepare_sft_nulls"] = _with(f"{sft} WHERE row_id % 5 <> 0", "edges")
+    sql["prepare_dpo_nulls"] = _with(f"{dpo} WHERE row_id % 5 <> 0 AND row_id % 7 <> 0", "edges")
+    for name, text, most in (("chat", _chat(), 300), ("special", inst, 298)):
+        sql[f"sft_{name}_length_filter"] = _with(
+            f"SELECT row_id, text, {_FLAT_MESSAGES} FROM (SELECT row_id, m AS messages, {text} AS text "
+            f"FROM chosen_side) WHERE {_tokens('text')} <= {most}",
+            "edges",
+        )
+    # Each of two texts that are counted together has two marker tokens.
+    sql["dpo_special_length_filter"] = _with(_FITS.format(most=296) + " AND p <= 98", "edges")
+    other = _SPLIT.replace("ceil(n * 0.05)", "ceil(n * 0.3)").replace("'42:'", "'7:'")
+    sql["split_other_seed"] = _with(other)
+    sql["split_rows"] = _with(_SPLIT.replace("ceil(n * 0.05)", "17"))
     sql["split_hash"] = _with(
         "SELECT row_id, CASE WHEN substr(md5('42:' || row_id), 1, 8) < '0ccccccc' "
         "THEN 'validation' ELSE 'train' END AS split FROM dpo"

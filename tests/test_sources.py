@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import pairloom as P
 from conftest import SF
-from pairloom.plans.fixtures import conversations_from_turns, edge_pairs, stored_pairs
+from pairloom.plans.fixtures import edge_pairs, stored_pairs
 from pairloom.plans.job import PrepareConfig, lines, parse_args, run_prepare
 from pairloom.sources import pairs as pairs_module
 from pairloom.sources import rows
@@ -250,7 +250,7 @@ def test_long_conversation_is_joined_in_order(spark):
         F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
         F.concat(F.lit("t"), "id").alias("text"),
     )
-    whole = conversations_from_turns(turns.repartition(5)).where("conv_id = 7").first().chosen
+    whole = P.assemble_conversations(turns.repartition(5)).where("conv_id = 7").first().chosen
     expected = [i for i in range(2000) if i % 3 == 0 or i == 7]
     label = ("Human", "Assistant")
     assert whole == "".join(f"\n\n{label[i % 2]}: t{i}" for i in expected)
