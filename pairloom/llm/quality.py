@@ -110,20 +110,37 @@ def fit_thresholds(grades: np.ndarray, levels: int) -> np.ndarray:
     return np.log(share / (1 - share))
 
 
+def ordinal_slopes(
+    scores: np.ndarray, thresholds: np.ndarray, grades: np.ndarray
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean of -log P(grade), and its slopes by each score and by each threshold.
+
+    P(grade = k) is the rise of the cumulative probability from threshold k - 1 to k.
+    """
+    n, cuts = len(grades), len(thresholds)
+    below = 1 / (1 + np.exp(-np.clip(thresholds - scores[:, None], -50, 50)))
+    edges = np.concatenate([np.zeros((n, 1)), below, np.ones((n, 1))], axis=1)
+    row = np.arange(n)
+    low, high = edges[row, grades], edges[row, grades + 1]
+    share = np.maximum(high - low, 1e-12)
+    by_score = (1 - high - low) / n
+    steep = np.concatenate([np.zeros((n, 1)), below * (1 - below), np.zeros((n, 1))], axis=1)
+    by_cut = np.bincount(grades + 1, -steep[row, grades + 1] / share, cuts + 2)
+    by_cut += np.bincount(grades, steep[row, grades] / share, cuts + 2)
+    return float(-np.log(share).mean()), by_score, by_cut[1:-1] / n
+
+
 def _fit(rows: np.ndarray, columns: np.ndarray, width: int, grades: np.ndarray, levels: int, steps: int, sparse: float):
-    """Proximal Adam steps on the cumulative-link loss; rows ascending."""
+    """Proximal Adam steps on the cumulative-link likelihood; rows ascending."""
     heads = np.searchsorted(rows, np.arange(len(grades)))
     ends = np.searchsorted(rows, np.arange(len(grades)), side="right")
-    above = grades[:, None] > np.arange(levels - 1)
     weights, thresholds = np.zeros(width), fit_thresholds(grades, levels)
     moments = [np.zeros(width), np.zeros(width), np.zeros(levels - 1), np.zeros(levels - 1)]
     for step in range(1, steps + 1):
         run = np.r_[0, np.cumsum(weights[columns])]
         scores = run[ends] - run[heads]
-        # The loss is that of the levels - 1 questions "above k?", which share the score.
-        miss = 1 / (1 + np.exp(np.clip(thresholds - scores[:, None], -50, 50))) - above
-        pull = miss.sum(1) / len(grades)
-        slopes = (np.bincount(columns, np.repeat(pull, ends - heads), width), -miss.mean(0))
+        _, pull, lift = ordinal_slopes(scores, thresholds, grades)
+        slopes = (np.bincount(columns, np.repeat(pull, ends - heads), width), lift)
         rate = 0.1 * (1 - step / (steps + 1)) + 0.002
         for slope, k in zip(slopes, (0, 2), strict=True):
             moments[k] = 0.9 * moments[k] + 0.1 * slope
@@ -145,13 +162,15 @@ def fit_grades(
     key: str = "doc_id",
     text: str = "text",
     most: int = 6000,
+    most_words: int = 2048,
     least_documents: int = 8,
     steps: int = 150,
     sparse: float = 2e-4,
 ) -> GradeModel:
     """Fit on at most `most` rated documents, those of the smallest hash of their key.
 
-    ratings: (id, grade), grades from 0 to levels - 1; a key rated more than once
+    Of each, the `most_words` distinct words of smallest hash count, so at most 8 bytes
+    times both bounds come to the driver. ratings: (id, grade), grades from 0 to levels - 1; a key rated more than once
     counts with its lowest grade, null keys or grades not at all. Words of fewer
     than `least_documents` sample documents get no weight. Without any rated
     document the model gives every text the highest grade.
@@ -174,7 +193,7 @@ def fit_grades(
                 [
                     batch.column("id").cast(pa.string()),
                     batch.column("grade"),
-                    pa.array([w.tobytes() for w, _ in made], pa.binary()),
+                    pa.array([w[:most_words].tobytes() for w, _ in made], pa.binary()),
                     pa.array([s.tobytes() for _, s in made], pa.binary()),
                 ],
                 names=["id", "grade", "words", "steps"],

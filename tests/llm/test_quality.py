@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from pairloom.llm.quality import SHAPES, GradeModel, document_grades, fit_grades
+from pairloom.llm.quality import SHAPES, GradeModel, document_grades, fit_grades, ordinal_slopes
 from pairloom.llm.queries import op4_quality_grades
 
 SF = "/root/testdata/sf0.1"
@@ -32,6 +32,23 @@ def test_score_is_the_sum_of_weights():
     assert np.allclose(tail, 1 / (1 + np.exp([[-1.0, 0.5]] * 3)))
 
 
+def test_slopes_of_the_cumulative_link_likelihood():
+    rng = np.random.default_rng(4)
+    scores, thresholds = rng.normal(size=9), np.array([-0.7, 0.2, 1.5])
+    grades = np.array([0, 1, 2, 3, 0, 1, 2, 3, 3])
+    loss, by_score, by_cut = ordinal_slopes(scores, thresholds, grades)
+    edges = np.array([[0, *(1 / (1 + np.exp(s - thresholds))), 1] for s in scores])
+    assert np.isclose(loss, -np.log(edges[range(9), grades + 1] - edges[range(9), grades]).mean())
+    for value, slope in ((scores, by_score), (thresholds, by_cut)):
+        for k in range(len(value)):
+            value[k] += 1e-6
+            up = ordinal_slopes(scores, thresholds, grades)[0]
+            value[k] -= 2e-6
+            down = ordinal_slopes(scores, thresholds, grades)[0]
+            value[k] += 1e-6
+            assert np.isclose((up - down) / 2e-6, slope[k], atol=1e-7)
+
+
 def test_edge_tables(spark):
     schema = "doc_id long, text string, at_least int, other string"
     rows = [(1, None, 1, "a"), (1, None, 1, "a"), (None, "", 1, None), (2, "word " * 60_000, 1, "b")]
