@@ -11,6 +11,7 @@ sorting suffixes, and a row alone in its interval is done with. The order of the
 intervals is not needed and not kept. Intervals with company give the candidates;
 exact hashes settle what is repeated: first of all strings of an anchor at once,
 then, only where runs of one gram differ, of fewer, and at last of single strings.
+Of those only runs stay in question whose strings share the bytes that all of them cover.
 """
 
 from __future__ import annotations
@@ -122,7 +123,12 @@ def _rows(length: int, repeated, bits: int) -> Callable:
 
 
 def _parts(length: int, grain: int) -> Callable:
-    """Runs cut at fixed distances from their anchor, each part with the hash of its span."""
+    """Runs cut at fixed distances from their anchor, each part with the hash of its span.
+
+    Every string of a part covers the same bytes around the anchor. They join the group
+    of a part, so that one that stands alone with them is done with: no string of it
+    is repeated.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +146,10 @@ def _parts(length: int, grain: int) -> Callable:
                 part = far[own] - (np.arange(ends[-1]) - (ends - size)[own])
                 begin = np.maximum(first[own], anchor[own] - part * grain - grain + 1)
                 end = np.minimum(last[own], anchor[own] - part * grain)
-                group = mix(gram.view(np.uint64)[own] + mix(part.astype(np.uint64)))
+                nearest = anchor[own] - part * grain  # the last place a part may have
+                start = np.minimum(nearest, len(sums) - 1)
+                core = _hashes(sums, start, np.maximum(start, nearest - grain + 1 + length))
+                group = mix(mix(gram.view(np.uint64)[own] + mix(part.astype(np.uint64))) + core)
                 span = mix(_hashes(sums, begin, end + length) + (anchor[own] - begin).astype(np.uint64))
                 columns.append((group.view(np.int64), begin, end, anchor[own], span.view(np.int64), copies[own]))
                 rows.append(np.full(len(own), k))
@@ -205,6 +214,7 @@ def repeated_runs(base: DataFrame, scratch: Scratch, length: int) -> DataFrame:
     columns = [c.split()[0] for c in _ROW.split(", ")]
     table = base.mapInArrow(_rows(length, marks, bits), _ROW).groupBy(*columns).agg(F.count("*").alias("copies"))
     table = scratch.put(table.join(grams, "gram", "left_semi"), "rows")
+    marks.unpersist()
     # Round 1: the interval of a row is its gram.
     interval = table.select("r1", "r2", "nth", "copies", F.col("gram").alias("interval"))
     found = None
