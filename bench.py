@@ -32,7 +32,7 @@ QUERIES = (
     "prepare_dpo prepare_sft prepare_sft_chat dpo_length_filter sft_length_filter parse_messages "
     "extract_pair chat_render token_count token_count_documents stats_sft stats_dpo max_samples "
     "max_samples_per_split preview_dpo split_exact split_counts load_pairs json_roundtrip "
-    "trainer_sft stream_dpo dpo_length_hook"
+    "trainer_sft stream_dpo dpo_length_hook prompt_mismatch split_hash trainer_dpo_extra job_stream"
 ).split()
 
 
@@ -73,7 +73,11 @@ def main() -> None:
     registered = catalog.queries()
     drain(registered["prepare_dpo"](spark, SF_DIR))  # starts the JVM and stores the pairs
 
-    seconds = {"ingest_pairs": second_run(lambda: drain(pairs_from_turns(turns)))}
+    raw = catalog.pair_files(spark, SF_DIR)
+    seconds = {
+        "assemble": second_run(lambda: drain(pairs_from_turns(turns))),
+        "ingest_pairs": second_run(lambda: P.ingest_pairs(spark, raw, scratch_dir(spark))),
+    }
     for name in QUERIES:
         seconds[name] = second_run(lambda name=name: drain(registered[name](spark, SF_DIR)))
 
@@ -88,6 +92,8 @@ def main() -> None:
         "stats_dpo": lambda: P.get_dataset_statistics(P.prepare_for_dpo(big)),
         "first_half": lambda: drain(P.first_rows(big, count // 2)),
         "split": lambda: drain(P.with_split(big)),
+        "prepare_both": lambda: drain(P.prepare_both(big)),
+        "hash_split": lambda: drain(P.with_hash_split(big)),
         "write_dpo_json": lambda: P.write_json(
             P.prepare_for_dpo(big), scratch_dir(spark) + "/dpo.json"
         ),

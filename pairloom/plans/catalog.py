@@ -153,7 +153,7 @@ def _place(df: DataFrame) -> DataFrame:
 _laid_out: dict[tuple[str, str], str] = {}
 
 
-def _pair_files(spark: SparkSession, sf: str) -> str:
+def pair_files(spark: SparkSession, sf: str) -> str:
     """All pairs as raw JSON files in row order, written once per application."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _laid_out:
@@ -170,7 +170,7 @@ def _pair_files(spark: SparkSession, sf: str) -> str:
 
 def _loaded(**choice) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        pairs = load_pairs(spark, _pair_files(spark, sf), **choice)
+        pairs = load_pairs(spark, pair_files(spark, sf), **choice)
         return pairs.select("chosen", "rejected", "subset", "split")
 
     return run
@@ -184,7 +184,7 @@ def _opened(spark: SparkSession, sf: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _ingested:
         target = scratch_dir(spark)
-        ingest_pairs(spark, _pair_files(spark, sf), target)
+        ingest_pairs(spark, pair_files(spark, sf), target)
         _ingested[key] = target
     return open_pairs(spark, _ingested[key])
 
@@ -192,7 +192,7 @@ def _opened(spark: SparkSession, sf: str) -> DataFrame:
 def _streamed(kind: str, schema_of: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         root = scratch_dir(spark)
-        pairs = stream_pairs(spark, _pair_files(spark, sf))
+        pairs = stream_pairs(spark, pair_files(spark, sf))
         query = start_preparation(pairs, kind, f"{root}/out", f"{root}/checkpoint", keep=[])
         query.awaitTermination()
         schema = schema_of(stored_pairs(spark, sf)).schema
@@ -209,7 +209,7 @@ def _job(spark: SparkSession, sf: str) -> PrepareReport:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _reports:
         target = f"{scratch_dir(spark)}/train.json"
-        _reports[key] = run_prepare(spark, PrepareConfig(_pair_files(spark, sf), save_path=target))
+        _reports[key] = run_prepare(spark, PrepareConfig(pair_files(spark, sf), save_path=target))
     return _reports[key]
 
 
@@ -232,7 +232,7 @@ def _job_statistics(spark: SparkSession, sf: str) -> DataFrame:
 def _job_streamed(spark: SparkSession, sf: str) -> DataFrame:
     """Both tables of a streamed job, in batches of three files."""
     root = scratch_dir(spark)
-    pairs = stream_pairs(spark, _pair_files(spark, sf), files_per_trigger=3)
+    pairs = stream_pairs(spark, pair_files(spark, sf), files_per_trigger=3)
     start_job(pairs, f"{root}/out", f"{root}/checkpoint", keep=[]).awaitTermination()
     sft, dpo = [job_output(spark, f"{root}/out", kind) for kind in ("sft", "dpo")]
     none = F.lit(None).cast("string")
