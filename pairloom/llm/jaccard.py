@@ -37,6 +37,7 @@ _CHUNK = 1 << 16
 _LOW = np.uint64(1 << 62)  # light tokens lie below: a quarter of all, prefixes need a tenth
 _LIGHT = 32  # documents a light token may have beyond the usual load of a counter
 _BLOCK = 2048  # members of a combination that are compared in one task
+_FIRST = 8  # combinations of a set by which pairs are told that meet in several
 _STARS = 3  # rounds that link a group to its best member
 
 
@@ -306,10 +307,16 @@ def _passes(percent: int) -> Callable:
 def _group_pairs(percent: int, stars: bool) -> Callable:
     """Of each block pair of a combination: pairs of different components that parities allow.
 
-    With stars, only those of the member that has most.
+    With stars, only those of the member that has most. Without, a pair is left to the
+    least of the first combinations that its members share, if they share any of these.
     """
 
-    def one(ids, n, comp, side, parities) -> np.ndarray:
+    def elsewhere(key: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether pairs of members with these first combinations are found in a lesser one."""
+        shared = np.where((x[:, :, None] == y[:, None, :]).any(2), x, np.iinfo(np.int64).max)
+        return shared.min(1) < key
+
+    def one(key, ids, n, comp, side, parities, firsts) -> np.ndarray:
         bits = 8 * min(map(len, parities))
         rows = _parity_rows(parities, bits)
         rows = np.ascontiguousarray(rows).view(np.uint64)
@@ -321,8 +328,13 @@ def _group_pairs(percent: int, stars: bool) -> Callable:
             fits &= np.minimum(n[x, None], n[None]) * 100 >= np.maximum(n[x, None], n[None]) * percent
             fits &= (comp[x, None] != comp[None]) & (ids[x, None] < ids[None])
             fits &= (side[x, None] != side[None]) | (side[x, None] == 2)
-            found.append(np.argwhere(fits) + [first, 0])
-        pairs = np.concatenate(found)
+            own = np.argwhere(fits) + [first, 0]
+            for k in range(0, len(own), 1 << 16):
+                some = own[k : k + (1 << 16)]
+                if not stars:
+                    some = some[~elsewhere(key, firsts[some[:, 0]], firsts[some[:, 1]])]
+                found.append(some)
+        pairs = np.concatenate([np.zeros((0, 2), np.int64), *found])
         if stars and len(pairs):
             hub = np.bincount(pairs.ravel(), minlength=len(ids)).argmax()
             pairs = pairs[(pairs == hub).any(1)]
@@ -336,7 +348,11 @@ def _group_pairs(percent: int, stars: bool) -> Callable:
             for a, b in zip(heads, [*heads[1:], len(key)], strict=True):
                 part = table.slice(a, b - a)
                 ids, n, comp, side = (part.column(c).to_numpy() for c in ("id", "n", "comp", "side"))
-                seen = np.concatenate([seen, one(ids, n, comp, side, part.column("parity").to_pylist())])
+                firsts = np.zeros((0, _FIRST), np.int64)
+                if not stars:
+                    firsts = np.frombuffer(b"".join(part.column("firsts").to_pylist()), ">i8").reshape(-1, _FIRST)
+                parities = part.column("parity").to_pylist()
+                seen = np.concatenate([seen, one(int(key[a]), ids, n, comp, side, parities, firsts)])
             if len(seen) > 1 << 16:
                 seen = np.unique(seen, axis=0)
                 yield pa.record_batch([pa.array(seen[:, 0]), pa.array(seen[:, 1])], schema=_PAIR)
@@ -398,10 +414,21 @@ def _apart(groups: DataFrame, parts: DataFrame) -> DataFrame:
         "n",
         "comp",
         F.expr("CASE WHEN mine = other THEN 2 WHEN mine < other THEN 0 ELSE 1 END").alias("side"),
-        "parity",
+        "sid",
     )
 
 
+def _first_keys(groups: DataFrame) -> DataFrame:
+    """firsts: the least combinations of each set (sid), as bytes of one length.
+
+    A set has a bounded number of combinations, so few that they are sorted by row.
+    """
+    least = F.slice(F.array_sort(F.collect_set("key")), 1, _FIRST)
+    padded = F.concat(least, F.array_repeat(F.element_at(least, -1), _FIRST))
+    parts = [F.unhex(F.lpad(F.hex(F.get(padded, F.lit(k))), 16, "0")) for k in range(_FIRST)]
+    return groups.groupBy("sid").agg(F.concat(*parts).alias("firsts"))
+
+
 def similar_documents(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -470,9 +497,14 @@ def similar_documents(
     pairs = pairs.join(p, "a").join(q, "b").mapInArrow(_passes(percent), "a long, b long")
     pairs = scratch.put(pairs, "pairs")
 
-    groups = extended.where("parity IS NOT NULL")
-    many = groups.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    groups = scratch.put(groups.join(many, "key"), "groups")
+    # Groups are worked on without parities, which join where they are compared.
+    whole = extended.where("parity IS NOT NULL").withColumn("sid", F.xxhash64("id", "n", "parity"))
+    narrow = whole.select("key", "id", "n", "sid")
+    many = narrow.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    groups = scratch.put(narrow.join(many, "key"), "groups", narrow=True)
+    parities = whole.select("sid", "parity").join(groups.select("sid"), "sid", "left_semi")
+    parities = scratch.put(parities.groupBy("sid").agg(F.min("parity").alias("parity")), "parities")
+
     wanted = (
         pairs.select(F.col("a").alias("id"))
         .unionByName(pairs.select(F.col("b").alias("id")))
@@ -491,8 +523,11 @@ def similar_documents(
 
     def met_in(members: DataFrame, stars: bool) -> DataFrame:
         """Links between members of a group that lie in different components."""
+        cells = _apart(members, parts).join(parities, "sid")
+        if not stars:
+            cells = cells.join(_first_keys(members), "sid")
         found = (
-            _apart(members, parts)
+            cells.drop("sid")
             .repartition("key", "block")
             .sortWithinPartitions("key", "block")
             .mapInArrow(_group_pairs(percent, stars), "a long, b long")
@@ -507,7 +542,7 @@ def similar_documents(
     for turn in range(_STARS):
         if turn:  # one member of each component and group
             own = groups.join(parts, "id", "left").withColumn("comp", F.coalesce("component", "id"))
-            drawn = F.min_by(F.struct("id", "n", "parity"), F.xxhash64("id", F.lit(turn)))
+            drawn = F.min_by(F.struct("id", "n", "sid"), F.xxhash64("id", F.lit(turn)))
             some = own.groupBy("key", "comp").agg(drawn.alias("member")).select("key", "member.*")
         else:  # the largest group of each set
             some = groups.join(one, ["id", "key"])
