@@ -312,7 +312,7 @@ def test_each_parse_runs_once(pairs):
     assert dpo.count("split(") == 1 and "Exchange" not in dpo
     assert plan_of(P.prepare_for_sft(pairs)).count("split(") == 1
     counted = plan_of(P.prepare_for_dpo(pairs, P.native_tokenizer()))
-    assert counted.count("split(") == 1 and counted.count("regexp_extract_all(") == 3
+    assert counted.count("split(") == 1 and counted.count("regexp_replace(") == 3
     chat = plan_of(P.prepare_for_sft(pairs, P.native_tokenizer()))
     hooked = plan_of(P.prepare_for_dpo(pairs, P.python_tokenizer(load_words)))
     assert hooked.count("ArrowEvalPython") == 1
