@@ -27,7 +27,7 @@ from .lines import _hashes, _prefix_sums
 from .tables import Scratch, mark_bytes, mark_table, with_mark
 from .words import mix, slices, text_bytes
 
-_ROUNDS = 3  # symbols that are compared before strings are
+_ROUNDS = 2  # symbols that are compared before strings are; a third drops few rows more
 _ROW = "r1 long, r2 long, nth long, gram long, gap long, first long, last long, anchor long, depth long, span long"
 _GRAINS = (16, 1)  # places of the parts in which runs are looked at closer
 
