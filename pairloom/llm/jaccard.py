@@ -15,8 +15,8 @@ keeps a token, or a k-combination of tokens, that the other prefix holds too:
 
 Sets of equal content are one from the start. Candidates pass a lossless parity
 sketch and are then verified on the sets. Groups of frequent combinations are first
-linked to their best member, each set in one group; then one member of each component
-goes on in turn; only members still apart meet as pairs.
+linked to their best member, each set in its largest group; where there are more rounds, one
+member of each component goes on. Only members still apart meet as pairs.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ _LOW = np.uint64(1 << 62)  # light tokens lie below: a quarter of all, prefixes
 _LIGHT = 32  # documents a light token may have beyond the usual load of a counter
 _BLOCK = 2048  # members of a combination that are compared in one task
 _FIRST = 8  # combinations of a set by which pairs are told that meet in several
-_STARS = 3  # rounds that link a group to its best member
+_STARS = 1  # rounds that link a group to its best member; each costs many small stages
 
 
 def slack(n: np.ndarray | int, percent: int) -> np.ndarray | int:

@@ -24,7 +24,7 @@ from .words import mix, powers, slices, text_bytes
 _NEWLINE = 0x0A
 _LEAST = 20  # bytes; a shorter line is left alone
 _FEW = 8  # lines of a key that all meet at once
-_TURNS = 2  # most rounds that link lines of a common key to one drawn from them
+_TURNS = 1  # most rounds that link lines of a common key to one drawn from them
 _PAIR_BYTES = 1 << 21  # of padded lines whose distances are worked out together
 
 
