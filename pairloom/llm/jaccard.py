@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .tables import Scratch, mark_table, narrowed, with_mark
 from .words import mix, shingle_sets
+from .workers import lean
 
 _COUNTERS = 1 << 21  # of the token counts, whatever the input
 _CHUNK = 1 << 16
@@ -392,7 +393,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that the sets confirm."""
     x = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
     y = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(x, "a").join(y, "b").mapInArrow(_verify(percent), "a long, b long")
+    return pairs.join(x, "a").join(y, "b").mapInArrow(lean(_verify(percent)), "a long, b long")
 
 
 def _apart(groups: DataFrame, parts: DataFrame) -> DataFrame:
@@ -445,7 +446,7 @@ def similar_documents(
     base = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     described = scratch.put(
         base.mapInArrow(
-            _describe(size, percent),
+            lean(_describe(size, percent)),
             "id long, n long, print binary, low binary, parity binary, chunk int, counts binary",
         ),
         "described",
@@ -469,12 +470,12 @@ def similar_documents(
     )
     firsts = scratch.put(firsts.where("id IS NOT NULL"), "firsts")
     keys = scratch.put(
-        firsts.select("id", "n", "low").mapInArrow(_light_keys(counts, limit, percent), _KEYS), "keys"
+        firsts.select("id", "n", "low").mapInArrow(lean(_light_keys(counts, limit, percent)), _KEYS), "keys"
     )
     short = keys.where("n < 0").select("id").distinct()
     extended = scratch.put(
         narrowed(base.where("id IS NOT NULL"), short, "id").mapInArrow(
-            _extended_keys(counts, limit, size, percent), f"{_KEYS}, parity binary"
+            lean(_extended_keys(counts, limit, size, percent)), f"{_KEYS}, parity binary"
         ),
         "extended",
     )
@@ -483,7 +484,7 @@ def similar_documents(
     pairs = (
         light.repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(_light_pairs(percent), "a long, b long, weight long")
+        .mapInArrow(lean(_light_pairs(percent)), "a long, b long, weight long")
         .groupBy("a", "b")
         .agg(F.sum("weight").alias("weight"))
         .where("weight > 1")
@@ -494,7 +495,7 @@ def similar_documents(
     near = scratch.put(narrowed(firsts.select("id", "n", "parity"), ends, "id"), "near")
     p = near.select(F.col("id").alias("a"), "n", F.col("parity").alias("p"))
     q = near.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("parity").alias("q"))
-    pairs = pairs.join(p, "a").join(q, "b").mapInArrow(_passes(percent), "a long, b long")
+    pairs = pairs.join(p, "a").join(q, "b").mapInArrow(lean(_passes(percent)), "a long, b long")
     pairs = scratch.put(pairs, "pairs")
 
     # Groups are worked on without parities, which join where they are compared.
@@ -514,7 +515,7 @@ def similar_documents(
     wanted = scratch.put(wanted, "wanted")
     sets = scratch.put(
         narrowed(base.where("id IS NOT NULL"), wanted, "id").mapInArrow(
-            _sets_of(size), "id long, tokens binary"
+            lean(_sets_of(size)), "id long, tokens binary"
         ),
         "sets",
     )
@@ -530,7 +531,7 @@ def similar_documents(
             cells.drop("sid")
             .repartition("key", "block")
             .sortWithinPartitions("key", "block")
-            .mapInArrow(_group_pairs(percent, stars), "a long, b long")
+            .mapInArrow(lean(_group_pairs(percent, stars)), "a long, b long")
             .distinct()
         )
         found = scratch.put(found, "found")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .tables import Scratch
 from .tokens import encoder
+from .workers import lean
 
 _PIECE = pa.schema(
     [
@@ -173,7 +174,7 @@ def pack_documents(
     base = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     pieces = scratch.put(
         base.mapInArrow(
-            _cut(tokenizer, most),
+            lean(_cut(tokenizer, most), "tokens"),
             "task long, nth long, id long, piece int, start long, length long, ids binary",
         ),
         "pieces",
@@ -190,6 +191,6 @@ def pack_documents(
         .select("task", "nth", "length", (F.col("before") + F.col("nth")).alias("rank"))
     )
     taken = ranked.mapInArrow(
-        _take(slots), "task long, nth long, length long, sequence_id long, offset long"
+        lean(_take(slots), "tokens"), "task long, nth long, length long, sequence_id long, offset long"
     )
     return Packed(pieces, taken)

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from .tables import narrowed, text_batches
 from .words import slices, text_bytes, words_of
+from .workers import lean
 
 GRADES = 3
 KEEP_FROM = 0.4  # least probability of the highest grade with which a document stays
@@ -101,7 +102,7 @@ class GradeModel:
                 columns = [*batch.columns, pa.array(tail.sum(1)), pa.array(list(tail), pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "expected_grade", "at_least"])
 
-        return own.mapInArrow(run, schema)
+        return own.mapInArrow(lean(run), schema)
 
 
 def fit_thresholds(grades: np.ndarray, levels: int) -> np.ndarray:
@@ -200,7 +201,7 @@ def fit_grades(
             )
 
     schema = "id string, grade int, words binary, steps binary"
-    sample = sorted(texts.select("id", "grade", "text").mapInArrow(run, schema).toLocalIterator(), key=lambda r: r["id"])
+    sample = sorted(texts.select("id", "grade", "text").mapInArrow(lean(run), schema).toLocalIterator(), key=lambda r: r["id"])
     if not sample:
         return GradeModel(np.zeros(0, np.uint64), np.zeros(SHAPES), np.full(levels - 1, -np.inf))
     grades = np.array([r["grade"] for r in sample])

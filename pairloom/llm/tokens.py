@@ -13,6 +13,8 @@ import re
 import struct
 from collections.abc import Callable
 
+from .workers import kept
+
 # The split pattern of word_bpe_49k.json, its classes within Latin-1.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 _NUMBERS = "0-9²³¹¼-¾"
@@ -48,7 +50,7 @@ class _Kept(dict):
         return packed
 
 
-_loaded: dict[str, Callable[[str | None], bytes]] = {}
+_loaded: dict[str, Callable[[str | None], bytes]] = kept("tokens")
 
 
 def encoder(path: str) -> Callable[[str | None], bytes]:
