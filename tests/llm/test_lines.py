@@ -144,6 +144,32 @@ def test_common_segments_meet_in_rounds(spark, monkeypatch, few, turns):
     assert sorted(got, key=str) == brute(rows, 2, 20)
 
 
+@pytest.mark.parametrize("lines_of_key", [40, 160])
+def test_rows_of_open_keys_are_dealt_once(spark, lines_of_key):
+    """Lines that share one segment and nothing else: rows grow with them, not with their pairs."""
+    from pyspark.sql import functions as F
+
+    from pairloom.llm.tables import Scratch
+
+    made = {}
+
+    class Counted(Scratch):
+        def put(self, df, name, narrow=False):
+            made[name] = super().put(df, name, narrow)
+            return made[name]
+
+    rng = random.Random(lines_of_key)
+    indexed = [(7, k, rng.getrandbits(63), k) for k in range(lines_of_key)]
+    members = [*indexed, *((7, k, rng.getrandbits(63), k) for k in range(lines_of_key, 2 * lines_of_key))]
+    near = (7, 10**6, indexed[3][2] ^ 0b101, 10**6)  # two bits from an indexed line
+    shape = "key long, line long, sketch long, component long"
+    x, y = spark.createDataFrame(indexed, shape), spark.createDataFrame([*members, near], shape)
+    met = lines._apart(x, y, 2, Counted(spark)).collect()
+    assert [(r.a, r.b) for r in met if r.b == 10**6] == [(3, 10**6)]
+    assert made["dealt"].count() == 5 * (len(members) + 1)
+    assert made["dealt"].where("indexed").agg(F.countDistinct("line")).first()[0] == len(indexed)
+
+
 def test_query_covers_all_documents(spark):
     got = op8_line_dedup(spark, "/root/testdata/sf0.001").collect()
     assert sorted(r.doc_id for r in got) == list(range(200))
