@@ -1,5 +1,7 @@
 """Vector dedup and search against all pairs."""
 
+import threading
+
 import numpy as np
 import pytest
 
@@ -54,6 +56,83 @@ def unit_products(rows):
     return units @ units.T
 
 
+def check_links(spark, rows):
+    ids = np.random.default_rng(2).permutation(len(rows)).astype(np.int64)
+    table = [(int(i), r.tolist(), "x", 1) for i, r in zip(ids, rows, strict=True)]
+    degree, comp = brute_links(ids, rows.astype(np.float64), 0.95)
+    got = V.similar_vectors(spark.createDataFrame(table, SCHEMA)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {int(i): (int(d), int(c)) for i, d, c in zip(ids, degree, comp, strict=True)}
+    return degree
+
+
+@pytest.mark.parametrize("shape", [(32,), (8, 64), (4, 8, 64)])
+def test_hashed_cells_lose_no_link(spark, monkeypatch, shape):
+    from math import ceil, log
+
+    tables = ceil(log(V._MISSED_CELL) / log(1 - V.shared_cell(shape, 0.95)))
+    monkeypatch.setattr(V, "hashing", lambda sample, total, cosine: (shape, tables))
+    monkeypatch.setattr(V, "_BLOCK", 64)
+    monkeypatch.setattr(V, "_LED", 32)
+    monkeypatch.setattr(V, "_NUMBERS", 16 * 16)
+    rows = cloud(700, 11, np.random.default_rng(5))
+    rows[:200] = rows[0] + np.random.default_rng(6).standard_normal((200, 16)) * 0.1  # a group of several blocks
+    rows[600:640] = rows[300]  # equal vectors
+    degree = check_links(spark, rows)
+    assert degree.max() >= 100 and (degree[600:640] >= 40).all()
+
+
+def test_leaders_give_the_groups_of_all_pairs(monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = cloud(900, 6, rng)
+    for bits, limits in ((V._SKETCH, [30]), (V._SHARP, [30, 90])):
+        signs = rows @ rng.standard_normal((16, bits)) >= 0
+        apart = (signs[:, None] != signs[None]).reshape(900, 900, bits)
+        close = (apart[:, :, : V._SKETCH].sum(2) <= limits[0]) & (apart.sum(2) <= limits[-1])
+        want = np.arange(900)
+        while True:
+            low = np.where(close, want[None], 900).min(1)
+            if (low == want).all():
+                break
+            want = low
+        sketches = np.packbits(signs, axis=1).view(np.uint64)
+        for led in (4096, 50):
+            monkeypatch.setattr(V, "_LED", led)
+            assert V.near_groups(sketches, limits).tolist() == want.tolist()
+
+
+def test_disk_stays_near_the_size_of_the_table(spark, monkeypatch):
+    monkeypatch.setattr(V, "_BLOCK", 64)
+    monkeypatch.setattr(V, "_ALL_PAIRS", 1.0, raising=False)
+    rows = np.random.default_rng(8).standard_normal((4000, 16)).astype(np.float32)
+    table = spark.createDataFrame([(i, r.tolist(), "x", 1) for i, r in enumerate(rows)], SCHEMA)
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def on_disk():
+        held = files.getAllFiles().iterator()
+        total = 0
+        while held.hasNext():
+            total += held.next().length()
+        return total
+
+    before, most, over = on_disk(), [0], threading.Event()
+
+    def watch():  # Spark removes the files of a query at its end
+        while not over.wait(0.1):
+            try:
+                most.append(on_disk() - before)
+            except Exception:  # a file may go meanwhile
+                continue
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        assert len(V.similar_vectors(table).collect()) == 4000
+    finally:
+        over.set()
+        watcher.join()
+    assert max(most) < 20 * rows.nbytes  # each block once went to every one it met
+
+
 def test_needed_collisions_hold_the_recall():
     needed = V.collisions_needed(24, 3.0, 0.9999)
     rng = np.random.default_rng(0)
