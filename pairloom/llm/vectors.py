@@ -30,7 +30,8 @@ _MISSED_CELL, _MISSED_SKETCH = 4e-5, 1e-5  # of pairs at the limit, by all table
 _RECALL = 0.99996  # of pairs at the limit, by the collisions a pair needs: 0.9999 in all
 _SKETCH, _SHARP = 128, 512  # bits, of all vectors and of those in large groups
 _SHAPES = [(8,), (32,), (128,), (512,), (32, 128), (128, 128), (8, 64, 128), (32, 128, 128), (128, 128, 128)]
-_COPY, _CELL, _MEETING, _ALL_PAIRS = 3.0, 60.0, 0.004, 0.015  # microseconds of an entry, a cell, a pair of sketches, of vectors
+# Microseconds of an entry (its place on disk counted in), a cell, a pair of sketches, a pair of vectors.
+_COPY, _CELL, _MEETING, _ALL_PAIRS = 24.0, 60.0, 0.008, 0.015
 _PART = 1 << 24  # bytes of entries that one task takes, about
 _LED, _LEADERS = 4096, 32  # rows of a cell beyond which leaders form groups first, and how many at once
 _AT_ONCE = 1 << 17  # pairs of sketches held at a time
